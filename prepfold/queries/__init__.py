@@ -3,4 +3,4 @@
 Importing this package fills ``catalog.REGISTRY``.
 """
 
-from . import cleaning, scaling  # noqa: F401
+from . import cleaning, profiling, scaling  # noqa: F401
