@@ -22,3 +22,148 @@ def sigma_filter(spark, sf_dir):
     p = priced_orders(Tables(spark, sf_dir)).select("o_orderkey", "o_totalprice", "log_price")
     kept = clean.sigma_filter(p, "log_price", 3.0)
     return kept.select("o_orderkey", "o_totalprice", half_up("log_price", 9).alias("log_price"))
+
+
+from .common import DOCS_LABELED_SQL, docs_labeled  # noqa: E402
+
+
+@register("drop_columns", sql="SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
+def drop_columns(spark, sf_dir):
+    """Drop two columns (the scan then never reads them)."""
+    o = Tables(spark, sf_dir).orders
+    return clean.drop_columns(o, ["o_orderstatus", "o_orderpriority"])
+
+
+@register("exclude_values", sql=f"""
+    SELECT doc_id, quality, toxic FROM ({DOCS_LABELED_SQL}) j
+    WHERE toxic NOT IN (1) OR toxic IS NULL
+""")
+def exclude_values(spark, sf_dir):
+    """Drop toxic documents, keep the unlabeled (NULL) ones."""
+    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    return clean.exclude_values(j, "toxic", [1], keep_null=True)
+
+
+@register("impute_mean", sql=f"""
+    WITH j AS ({DOCS_LABELED_SQL}),
+         s AS (SELECT avg(quality) AS mq, avg(toxic) AS mt FROM j)
+    SELECT doc_id, {hu('coalesce(CAST(quality AS DOUBLE), mq)', 9)} AS quality,
+           {hu('coalesce(CAST(toxic AS DOUBLE), mt)', 9)} AS toxic
+    FROM j, s
+""")
+def impute_mean(spark, sf_dir):
+    """Mean imputation of the label columns (as double)."""
+    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    out = clean.impute_mean(j, ["quality", "toxic"])
+    return out.select("doc_id", half_up("quality", 9).alias("quality"),
+                      half_up("toxic", 9).alias("toxic"))
+
+
+@register("impute_median", sql=f"""
+    WITH j AS ({DOCS_LABELED_SQL}),
+         s AS (SELECT median(CAST(quality AS DOUBLE)) AS mq, median(CAST(toxic AS DOUBLE)) AS mt FROM j)
+    SELECT doc_id, coalesce(CAST(quality AS DOUBLE), mq) AS quality,
+           coalesce(CAST(toxic AS DOUBLE), mt) AS toxic
+    FROM j, s
+""")
+def impute_median(spark, sf_dir):
+    """Exact median imputation of the label columns."""
+    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    return clean.impute_median(j, ["quality", "toxic"])
+
+
+MEDIAN_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("column_medians", sql="\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {hu(f'median({c})', 6)} AS median FROM lineitem"
+    for c in MEDIAN_COLS))
+def column_medians(spark, sf_dir):
+    """D5's statistic on its own: exact medians of four columns in one
+    distributed job."""
+    m = clean.column_medians(Tables(spark, sf_dir).lineitem, MEDIAN_COLS)
+    return m.withColumn("median", half_up("median", 6))
+
+
+@register("impute_constant", sql=f"""
+    SELECT doc_id, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic
+    FROM ({DOCS_LABELED_SQL}) j
+""")
+def impute_constant(spark, sf_dir):
+    """Sentinel -1 for missing label values."""
+    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    return clean.impute_constant(j, -1, ["quality", "toxic"])
+
+
+DOC_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+
+
+@register("drop_sparse_columns", sql=f"""
+    WITH j AS ({DOCS_LABELED_SQL}),
+         c AS (""" + "\nUNION ALL\n".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    "count(*) AS total FROM j" for i, c in enumerate(DOC_COLS)) + """)
+    SELECT position, column_name, null_count, total,
+           CAST(null_count AS DOUBLE) / total AS null_share,
+           coalesce(CAST(null_count AS DOUBLE) / total > 0.6, false) AS dropped
+    FROM c
+""")
+def drop_sparse_columns(spark, sf_dir):
+    """Which columns are more than 60% missing (the drop decision)."""
+    return clean.null_share_report(docs_labeled(Tables(spark, sf_dir)), 0.6)
+
+
+SIZES = list(range(1, 51))
+
+
+def size_flags(part):
+    return part.select("p_partkey", *[(F.col("p_size") == k).cast("int").alias(f"size_{k}")
+                                      for k in SIZES])
+
+
+@register("drop_low_obs", sql="\nUNION ALL\n".join(
+    f"SELECT {i} AS position, 'size_{k}' AS column_name, "
+    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) AS obs_count, "
+    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) <= 30 AS dropped FROM part"
+    for i, k in enumerate(SIZES)))
+def drop_low_obs(spark, sf_dir):
+    """Binary size indicators with at most 30 ones (all 50 columns)."""
+    flags = size_flags(Tables(spark, sf_dir).part)
+    rep = clean.low_observation_report(flags, [f"size_{k}" for k in SIZES], 30)
+    return rep.withColumn("obs_count", F.col("obs_count").cast("bigint"))
+
+
+@register("zero_fill", sql="""
+    SELECT p.p_partkey, coalesce(c.A, 0) AS A, coalesce(c.N, 0) AS N, coalesce(c.R, 0) AS R
+    FROM part p LEFT JOIN (
+        SELECT l_partkey,
+               count(*) FILTER (WHERE l_returnflag = 'A') AS A,
+               count(*) FILTER (WHERE l_returnflag = 'N') AS N,
+               count(*) FILTER (WHERE l_returnflag = 'R') AS R
+        FROM lineitem GROUP BY l_partkey) c ON p.p_partkey = c.l_partkey
+""")
+def zero_fill(spark, sf_dir):
+    """Pivoted counts joined back to every part, zero-filled on the
+    pivoted columns only."""
+    t = Tables(spark, sf_dir)
+    flags = ["A", "N", "R"]
+    piv = (t.lineitem.groupBy("l_partkey").pivot("l_returnflag", flags)
+           .agg(F.count(F.lit(1))).withColumnRenamed("l_partkey", "p_partkey"))
+    joined = t.part.select("p_partkey").join(piv, on="p_partkey", how="left")
+    return clean.zero_fill(joined, flags)
+
+
+@register("null_out_outlier", sql=f"""
+    SELECT l_orderkey, l_linenumber,
+           {hu("CASE WHEN l_quantity / (l_extendedprice / 1000) > 1.0 THEN NULL ELSE l_quantity / (l_extendedprice / 1000) END", 9)}
+               AS qty_per_1000
+    FROM lineitem
+""")
+def null_out_outlier(spark, sf_dir):
+    """A compound ratio with values above 1.0 overwritten by NULL."""
+    from ..functions.scalar import safe_div
+    li = Tables(spark, sf_dir).lineitem
+    r = li.select("l_orderkey", "l_linenumber",
+                  safe_div("l_quantity", F.col("l_extendedprice") / 1000).alias("qty_per_1000"))
+    out = clean.null_out_above(r, "qty_per_1000", 1.0)
+    return out.withColumn("qty_per_1000", half_up("qty_per_1000", 9))
