@@ -43,7 +43,7 @@ def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
     """Text to date; unparsable text gives NULL (``try_to_date``)."""
     if fmt is None:
         return F.try_to_date(col(c))
-    return F.try_to_date(col(c), F.lit(fmt))
+    return F.try_to_date(col(c), fmt)
 
 
 def day_of_week(c: ColumnOrName) -> Column:

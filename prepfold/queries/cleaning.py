@@ -123,7 +123,7 @@ def size_flags(part):
 
 @register("drop_low_obs", sql="\nUNION ALL\n".join(
     f"SELECT {i} AS position, 'size_{k}' AS column_name, "
-    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) AS obs_count, "
+    f"CAST(coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) AS BIGINT) AS obs_count, "
     f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) <= 30 AS dropped FROM part"
     for i, k in enumerate(SIZES)))
 def drop_low_obs(spark, sf_dir):
