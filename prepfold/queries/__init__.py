@@ -3,4 +3,4 @@
 Importing this package fills ``catalog.REGISTRY``.
 """
 
-from . import cleaning, features, profiling, scaling  # noqa: F401
+from . import cleaning, features, joins, profiling, scaling  # noqa: F401
