@@ -68,3 +68,11 @@ def as_of_days(test_df: DataFrame, start_col: str, days_col: str, split,
     out = staged.withColumn(days_col + original_suffix, F.col(days_col)) \
         .withColumn(days_col, F.datediff(s, F.col(start_col)))
     return drop_stats(out)
+
+
+def split_by_date(df: DataFrame, date_col: str, split) -> tuple[DataFrame, DataFrame]:
+    """Sequential split of point-in-time rows: train before the split date,
+    test on or after it."""
+    staged, s = _with_split(df, split)
+    d = F.col(date_col)
+    return (drop_stats(staged.where(d < s)), drop_stats(staged.where(d >= s)))

@@ -3,4 +3,4 @@
 Importing this package fills ``catalog.REGISTRY``.
 """
 
-from . import cleaning, encoding, features, joins, profiling, scaling, splitting  # noqa: F401
+from . import cleaning, encoding, features, joins, modelling, profiling, scaling, splitting  # noqa: F401
