@@ -83,7 +83,8 @@ def fanout_audit(df: DataFrame, lookup: DataFrame, variants: Mapping[str, Sequen
         joined = df.join(lookup, on=keys, how="left").agg(F.count(F.lit(1)).alias("n_rows"))
         dups = (lookup.groupBy(*keys).count().where(F.col("count") > 1)
                 .agg(F.count(F.lit(1)).alias("n_dup_right_keys")))
-        parts.append(joined.crossJoin(dups).crossJoin(n_left)
+        # Both sides are one-row aggregates: a proven bound for a broadcast.
+        parts.append(joined.crossJoin(F.broadcast(dups)).crossJoin(F.broadcast(n_left))
                      .select(F.lit(name).alias("variant"), "n_left", "n_rows", "n_dup_right_keys"))
     out = parts[0]
     for p in parts[1:]:

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor,
                                    RandomForestRegressionModel, RandomForestRegressor)
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +24,37 @@ def _prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+def _fit_balanced(estimator, df: DataFrame):
+    """Fit on a balanced, persisted copy of ``df``.
+
+    Tree learners pass over their input several times (metadata, split
+    sampling, binning). The input is spread round-robin over all task slots
+    (a small join result may have been coalesced to one partition, which
+    would train on one core; Spark sorts before a round-robin repartition,
+    so a retried task gets the same rows) and kept for the fit, so upstream
+    joins run once. Blocks lost with an executor are recomputed from
+    lineage.
+    """
+    spark = df.sparkSession
+    staged = df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(staged)
+    finally:
+        staged.unpersist()
+
+
 def train_gbt(train_df: DataFrame, features_col: str, label_col: str,
               prediction_col: str = "Prediction_Price", seed: int = 42, **params) -> GBTRegressionModel:
     """L1: gradient-boosted trees (defaults 20 trees, depth 5, 32 bins).
 
-    Node ids are cached and checkpointed to the shared folder every 10
+    The running predictions are checkpointed to the shared folder every 10
     iterations, so a lost executor does not replay the whole boosting
     lineage.
     """
     _prepare(train_df.sparkSession)
     gbt = GBTRegressor(featuresCol=features_col, labelCol=label_col, predictionCol=prediction_col,
-                       seed=seed, cacheNodeIds=True, checkpointInterval=10, **params)
-    return gbt.fit(train_df)
+                       seed=seed, checkpointInterval=10, **params)
+    return _fit_balanced(gbt, train_df)
 
 
 def train_rf(train_df: DataFrame, features_col: str, label_col: str,
@@ -42,9 +62,8 @@ def train_rf(train_df: DataFrame, features_col: str, label_col: str,
     """L2: random forest baseline."""
     _prepare(train_df.sparkSession)
     rf = RandomForestRegressor(featuresCol=features_col, labelCol=label_col,
-                               predictionCol=prediction_col, seed=seed, cacheNodeIds=True,
-                               checkpointInterval=10, **params)
-    return rf.fit(train_df)
+                               predictionCol=prediction_col, seed=seed, checkpointInterval=10, **params)
+    return _fit_balanced(rf, train_df)
 
 
 def predict(model, df: DataFrame) -> DataFrame:

@@ -65,7 +65,6 @@ def rfr_predict(spark, sf_dir):
 def evaluate_trees(spark, sf_dir):
     """L4: RMSE and R² of both tree models, one aggregation."""
     train, test = model_data(Tables(spark, sf_dir))
-    train = train.persist()
     preds = {"Gradient Boosted Trees": _predictions(model.train_gbt(train, "features", LABEL, PREDICTION), test),
              "Random Forest Regression": _predictions(model.train_rf(train, "features", LABEL, PREDICTION), test)}
     return model.regression_metrics(preds, LABEL, PREDICTION)

@@ -218,3 +218,25 @@ def null_patterns(spark, sf_dir):
 def category_counts(spark, sf_dir):
     """C9."""
     return profile.category_counts(Tables(spark, sf_dir).orders, "o_orderpriority")
+
+
+from ..operators.aggregates import global_aggregates as _global_aggregates  # noqa: E402
+
+_G1 = ["mean", "stddev", "max", "min", "sum", "skewness"]
+
+
+@register("global_aggregates", sql=f"""
+    WITH s AS (SELECT avg(o_totalprice) AS m, var_pop(o_totalprice) AS v FROM orders)
+    SELECT {hu('avg(o_totalprice)', 6)} AS mean_o_totalprice,
+           {hu('stddev_samp(o_totalprice)', 6)} AS stddev_o_totalprice,
+           max(o_totalprice) AS max_o_totalprice, min(o_totalprice) AS min_o_totalprice,
+           {hu('sum(o_totalprice)', 2)} AS sum_o_totalprice,
+           {hu('avg(power(o_totalprice - s.m, 3)) / power(s.v, 1.5)', 9)} AS skewness_o_totalprice
+    FROM orders, s GROUP BY s.m, s.v
+""")
+def global_aggregates(spark, sf_dir):
+    """G1: six aggregates of the order price in one pass."""
+    g = _global_aggregates(Tables(spark, sf_dir).orders, {"o_totalprice": _G1})
+    digits = {"mean": 6, "stddev": 6, "sum": 2, "skewness": 9}
+    return g.select(*[half_up(f"{fn}_o_totalprice", digits[fn]).alias(f"{fn}_o_totalprice")
+                      if fn in digits else F.col(f"{fn}_o_totalprice") for fn in _G1])

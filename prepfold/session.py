@@ -56,11 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only where unset.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` and is shared
-    storage. Only a local session without the setting (tests, bench) gets a
-    fresh scratch folder.
+    storage; without it this raises instead of falling back to a folder
+    that only one machine can see. Only a local-mode session without the
+    setting (tests, bench) gets a fresh scratch folder.
     """
     path = checkpoint_dir(spark)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (model files, "
+                               "tree checkpoints and stream state are written there)")
         path = tempfile.mkdtemp(prefix="prepfold-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,0 +1,6 @@
+"""Streaming form of the monthly load check (the reference has no other
+streaming work)."""
+
+from .arrivals import file_report, validate_arrivals
+
+__all__ = ["file_report", "validate_arrivals"]

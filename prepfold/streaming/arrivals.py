@@ -1,0 +1,58 @@
+"""The reference's "each month you get a new file" check as a stream.
+
+A file-source stream picks up new Parquet files in a folder; every file is
+validated like ``validate.check_load`` (expected rows and columns) and one
+report row per file is written. The report of micro-batch ``b`` is written
+to its own ``batch_id=b`` folder with overwrite, so a batch replayed after a
+failure replaces its rows instead of duplicating them; the stream's progress
+lives in a checkpoint under the shared ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.validate import FAILED, PASSED
+from ..session import shared_path
+
+
+def file_report(batch: DataFrame, num_records: int, num_columns: int, batch_id: int) -> DataFrame:
+    """One row per source file of a batch: ``(batch_id, source_file,
+    expected_records, actual_records, expected_columns, actual_columns,
+    status)``."""
+    n_cols = len([c for c in batch.columns if c != "source_file"])
+    per_file = batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("actual_records"))
+    ok = (F.col("actual_records") == F.lit(num_records)) & F.lit(n_cols == num_columns)
+    return per_file.select(F.lit(batch_id).cast("long").alias("batch_id"), "source_file",
+                           F.lit(num_records).cast("long").alias("expected_records"), "actual_records",
+                           F.lit(num_columns).alias("expected_columns"),
+                           F.lit(n_cols).alias("actual_columns"),
+                           F.when(ok, F.lit(PASSED)).otherwise(F.lit(FAILED)).alias("status"))
+
+
+def validate_arrivals(spark: SparkSession, source_dir: str, schema: T.StructType, num_records: int,
+                      num_columns: int, report_path: str | None = None,
+                      checkpoint_path: str | None = None, files_per_batch: int = 1,
+                      available_now: bool = True) -> StreamingQuery:
+    """Start the stream; returns the running query.
+
+    ``available_now`` processes the files present and stops (a scheduled
+    monthly run); otherwise the query keeps watching the folder.
+    """
+    report_path = report_path or shared_path(spark, "arrivals", "report")
+    checkpoint_path = checkpoint_path or shared_path(spark, "arrivals", "checkpoint")
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", files_per_batch)
+              .parquet(source_dir)
+              .withColumn("source_file", F.col("_metadata.file_path")))
+
+    def check(batch: DataFrame, batch_id: int) -> None:
+        report = file_report(batch, num_records, num_columns, batch_id).drop("batch_id")
+        report.write.mode("overwrite").parquet(f"{report_path}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(check).option("checkpointLocation", checkpoint_path)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -1,0 +1,21 @@
+import os
+import shutil
+
+from prepfold.streaming import validate_arrivals
+
+
+def test_each_arriving_file_is_validated(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    # Two "monthly" files: the small and the medium orders table.
+    shutil.copy("/root/testdata/sf0.001/orders.parquet", src / "month1.parquet")
+    shutil.copy("/root/testdata/sf0.01/orders.parquet", src / "month2.parquet")
+    schema = spark.read.parquet(str(src / "month1.parquet")).schema
+    report = str(tmp_path / "report")
+    q = validate_arrivals(spark, str(src), schema, 1500, 6, report_path=report,
+                          checkpoint_path=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    rows = {os.path.basename(r.source_file): (r.actual_records, r.status)
+            for r in spark.read.parquet(report).collect()}
+    assert rows == {"month1.parquet": (1500, "Validation Passed"),
+                    "month2.parquet": (15000, "Validation Failed")}
