@@ -55,43 +55,63 @@ def sql_left_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> Data
     return spark.sql(f"SELECT {select} FROM {lv} l LEFT JOIN {rv} r ON {cond}")
 
 
-def unmatched_audit(variants: Mapping[str, DataFrame], probe_col: str) -> DataFrame:
-    """``(variant, n_rows, n_unmatched)`` for several left joins of the
-    same rows: a right-side column that is NULL marks a row with no match.
-    All variants run in one action."""
-    parts = [v.agg(F.count(F.lit(1)).alias("n_rows"),
-                   F.count_if(F.col(probe_col).isNull()).alias("n_unmatched"))
-             .select(F.lit(name).alias("variant"), "n_rows", "n_unmatched")
-             for name, v in variants.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _key_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows per key value (partial aggregation before the shuffle, so a hot
+    key costs one row per task)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def fanout_audit(df: DataFrame, lookup: DataFrame, variants: Mapping[str, Sequence[str]]) -> DataFrame:
-    """for each key set, ``(variant, n_left, n_rows, n_dup_right_keys)``:
-    rows after a left join against rows before, and how many key values of
-    the lookup occur more than once (the cause of any fan-out).
+def left_join_counts(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``(n_left, n_rows, n_unmatched, n_dup_right_keys)`` describing
+    ``df LEFT JOIN lookup USING (keys)`` without running the join itself.
 
-    Result sizes come from aggregates over the join; nothing is collected.
+    Both sides are reduced to rows per key; the result size of the left join
+    is ``sum(left_rows * coalesce(right_rows, 1))`` and a left key without a
+    right row is unmatched (NULL keys never match). No pair of rows is ever
+    emitted, so a hot key on both sides costs two counts, not their product.
     """
-    n_left = df.agg(F.count(F.lit(1)).alias("n_left"))
-    parts = []
-    for name, keys in variants.items():
-        keys = list(keys)
-        joined = df.join(lookup, on=keys, how="left").agg(F.count(F.lit(1)).alias("n_rows"))
-        dups = (lookup.groupBy(*keys).count().where(F.col("count") > 1)
-                .agg(F.count(F.lit(1)).alias("n_dup_right_keys")))
-        # Both sides are one-row aggregates: a proven bound for a broadcast.
-        parts.append(joined.crossJoin(F.broadcast(dups)).crossJoin(F.broadcast(n_left))
-                     .select(F.lit(name).alias("variant"), "n_left", "n_rows", "n_dup_right_keys"))
+    keys = list(keys)
+    lc = _key_counts(df, keys, "__lc")
+    rc = _key_counts(lookup, keys, "__rc")
+    # NULL keys are grouped but never equal in the join: they stay unmatched.
+    j = lc.join(rc, on=keys, how="left")
+    left = j.agg(F.sum("__lc").alias("n_left"),
+                 F.sum(F.col("__lc") * F.coalesce(F.col("__rc"), F.lit(1))).alias("n_rows"),
+                 F.coalesce(F.sum(F.when(F.col("__rc").isNull(), F.col("__lc"))), F.lit(0)).alias("n_unmatched"))
+    dups = rc.agg(F.count_if(F.col("__rc") > 1).alias("n_dup_right_keys"))
+    return left.crossJoin(F.broadcast(dups)).select(
+        F.coalesce(F.col("n_left"), F.lit(0)).cast("long").alias("n_left"),
+        F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
+        F.col("n_unmatched").cast("long").alias("n_unmatched"),
+        F.col("n_dup_right_keys").cast("long").alias("n_dup_right_keys"))
+
+
+def join_audit(variants: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
+    """``(variant, n_left, n_rows, n_unmatched, n_dup_right_keys)``
+    for several ways of left-joining, e.g. keys at the wrong precision
+    (F3: many unmatched) or too few keys (F4: ``n_rows > n_left`` because
+    lookup keys repeat). Each variant is ``(left, lookup, keys)``; all run in
+    one action and none materialises its join."""
+    parts = [left_join_counts(left, lookup, keys).select(F.lit(name).alias("variant"), "*")
+             for name, (left, lookup, keys) in variants.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def unmatched_audit(variants: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
+    """``(variant, n_rows, n_unmatched)``."""
+    return join_audit(variants).select("variant", "n_rows", "n_unmatched")
+
+
+def fanout_audit(df: DataFrame, lookup: DataFrame, variants: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``(variant, n_left, n_rows, n_dup_right_keys)`` for the same
+    frames joined on different key sets."""
+    return join_audit({name: (df, lookup, keys) for name, keys in variants.items()}) \
+        .select("variant", "n_left", "n_rows", "n_dup_right_keys")
+
+
 def prior_period_join(df: DataFrame, lookup: DataFrame, key: str, date_col: str,
                       lookup_key: str, lookup_year: str, shift: int = 1,
                       year_col: str = "list_year", report_col: str = "report_year") -> DataFrame:

@@ -65,9 +65,9 @@ def join_audit_unmatched(spark, sf_dir):
     t = Tables(spark, sf_dir)
     e = t.events.select("event_id", "user_id", "value")
     w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").cast("bigint"))
-    raw = e.join(w, on=["user_id", "value"], how="left")
-    good = joins.precision_join(e, walk_lookup(t), ["value"], ["user_id"], digits=1)
-    return joins.unmatched_audit({"raw_keys": raw, "rounded_keys": good}, "walkscore")
+    aligned = joins.align_keys(e, ["value"], 1)
+    keys = ["user_id", "value"]
+    return joins.unmatched_audit({"raw_keys": (e, w, keys), "rounded_keys": (aligned, w, keys)})
 
 
 @register("join_audit_fanout", sql=f"""

@@ -23,10 +23,22 @@ def test_left_join_never_loses_rows_and_fanout_audit(spark):
            joins.fanout_audit(left2, right, {"good": ["k", "k2"], "few": ["k"]}).collect()}
     assert rep == {"good": (3, 3, 0), "few": (3, 4, 1)}
     um = {r.variant: r.n_unmatched for r in joins.unmatched_audit(
-        {"good": left2.join(right, ["k", "k2"], "left")}, "s").collect()}
+        {"good": (left2, right, ["k", "k2"])}).collect()}
     assert um == {"good": 1}
 
 
+def test_join_audit_counts_equal_materialised_join(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,), (5,)], "k int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e")], "k int, s string")
+    r = joins.left_join_counts(left, right, ["k"]).first()
+    joined = left.join(right, ["k"], "left")
+    assert r.n_left == 5 and r.n_rows == joined.count() == 9
+    assert r.n_unmatched == joined.where("s IS NULL").count() == 2
+    assert r.n_dup_right_keys == 1
+    plan = joins.join_audit({"v": (left, right, ["k"])})._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and plan.count("Aggregate") >= 3
+
+
 def test_sql_left_join_names_each_key_once(spark):
     left = spark.createDataFrame([(1, 2.0)], "k int, v double")
     right = spark.createDataFrame([(1, 9)], "k int, w int")
