@@ -53,10 +53,16 @@ def label_split(df: DataFrame, start_col: str, end_col: str, split, out_col: str
 
 
 def train_test(df: DataFrame, start_col: str, end_col: str, split) -> tuple[DataFrame, DataFrame]:
-    """Q2 as two frames, the reference's ``train_df`` and ``test_df``."""
-    labeled = label_split(df, start_col, end_col, split, "__split")
-    train = labeled.where(F.col("__split") == TRAIN).drop("__split")
-    test = labeled.where(F.col("__split") == TEST).drop("__split")
+    """Q2 as two frames, the reference's ``train_df`` and ``test_df``.
+
+    Written as plain predicates on the columns (not a filter on the label),
+    so with a literal split date and stored date columns they reach the
+    Parquet reader as pushed filters.
+    """
+    staged, s = _with_split(df, split)
+    end, start = F.col(end_col), F.col(start_col)
+    train = drop_stats(staged.where(end < s))
+    test = drop_stats(staged.where((end >= s) & (start <= s)))
     return train, test
 
 
