@@ -76,3 +76,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (model files, cut tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                max_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster job over ``input_bytes``.
+
+    The shuffle partition count is chosen so an average shuffle partition
+    holds about ``target_partition_bytes`` if the whole input were shuffled
+    (AQE coalesces smaller ones at run time), never fewer than two waves of
+    tasks over ``total_cores``. Scan splits are ``max_partition_bytes``.
+    Skew handling and broadcast conversion stay with AQE.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+    }

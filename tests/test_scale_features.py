@@ -76,3 +76,14 @@ def test_split_explode_and_multi_hot(spark):
     assert rows == {1: (0, 0), 2: (0, 0), 3: (1, 1), 4: (0, 1)}
     vocab = features.discover_values(features.explode_list(lists, "lst", "tok"), "tok")
     assert vocab == ["", "a", "b"]
+
+
+def test_null_share_of_all_columns_is_one_scan(spark, tmp_path):
+    from prepfold.operators import clean
+    path = str(tmp_path / "n.parquet")
+    spark.range(50).select("id", (F.col("id") % 3).alias("a"), F.lit(None).cast("int").alias("b")) \
+        .write.parquet(path)
+    rep = clean.null_share_report(spark.read.parquet(path), 0.6)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    assert {r.column_name: r.dropped for r in rep.collect()} == {"id": False, "a": False, "b": True}

@@ -43,3 +43,10 @@ def test_shape_and_conditional_counts(spark):
 def test_preview_is_ordered(spark):
     df = spark.range(100).repartition(7)
     assert [r.id for r in validate.preview(df, 5, ["id"]).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_sizing_conf_for_100_tb():
+    from prepfold.session import sizing_conf
+    conf = sizing_conf(100 * (1 << 40), total_cores=4000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    assert sizing_conf(1 << 30, total_cores=64)["spark.sql.shuffle.partitions"] == "128"
