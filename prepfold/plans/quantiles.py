@@ -8,9 +8,13 @@ pre-aggregated data:
 
 1. Pre-aggregate to distinct ``(group, value)`` pairs with their counts
    (partial aggregation runs before the shuffle, so a hot value is one row).
-2. Cut each group's distinct values into ``sub_buckets`` ranges at
-   approximate quantile boundaries (``percentile_approx``: a bounded sketch
-   per group). The boundaries only balance the work; results stay exact.
+2. Cut each group's distinct values into ``sub_buckets`` ranges. The
+   boundaries come from a hash-chosen sample of at most ~``SAMPLE_TARGET``
+   distinct values per group, sorted: a deterministic function of the data,
+   so every branch of the plan and every re-run of a lost task puts a value
+   in the same range (a merged ``percentile_approx`` sketch depends on the
+   order partial results arrive in). The boundaries only balance the work;
+   results stay exact.
 3. Running counts inside each (group, range) with a window, plus the counts
    of the earlier ranges of the group (at most ``sub_buckets`` rows per
    group), give every distinct value its exact rank interval.
@@ -23,8 +27,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stats import cut_lineage
+
 DEFAULT_SUB_BUCKETS = 64
-_SKETCH_ACCURACY = 1000
+SAMPLE_TARGET = 20000
+_HASH_SPACE = 1 << 30
 
 
 def _bucket_of(value: Column, bounds: str, n_bounds: int) -> Column:
@@ -44,7 +51,7 @@ def _bucket_of(value: Column, bounds: str, n_bounds: int) -> Column:
     return search(0, n_bounds)
 
 
-def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+def _join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join a per-group frame (one row per group) onto ``big``.
 
     With no keys ``small`` has one row and is broadcast. With keys it has one
@@ -52,8 +59,31 @@ def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     under the threshold, otherwise a shuffle join (skew split by AQE).
     """
     if not keys:
-        return big.crossJoin(F.broadcast(small))
-    return big.join(small, on=keys, how="inner")
+        return big.crossJoin(F.broadcast(small)) if how == "inner" else \
+            big.join(F.broadcast(small), how=how, on=F.lit(True))
+    return big.join(small, on=keys, how=how)
+
+
+def range_bounds(distinct_vals: DataFrame, value_col: str, g: list[str], sub_buckets: int,
+                 sample_target: int = SAMPLE_TARGET) -> DataFrame:
+    """``(*g, __bounds)``: ``sub_buckets - 1`` sorted boundaries per group.
+
+    ``distinct_vals`` holds each (group, value) once. A value is in the
+    sample when its hash falls under ``sample_target / distinct values of
+    the group``, so a group keeps about ``sample_target`` values (all of them
+    when it has fewer); the sample is collected per group - a bounded list -
+    and sorted, and the boundaries are evenly spaced elements of it.
+    """
+    v = F.col(value_col)
+    nd = distinct_vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__nd"))
+    u = F.pmod(F.xxhash64(v), F.lit(_HASH_SPACE)).cast("double") / F.lit(float(_HASH_SPACE))
+    sample = _join_small(distinct_vals.select(*g, value_col), nd, g) \
+        .where(u < F.lit(float(sample_target)) / F.col("__nd"))
+    srt = sample.groupBy(*g).agg(F.sort_array(F.collect_list(v)).alias("__sorted"))
+    size = F.size("__sorted")
+    picks = [F.element_at("__sorted", (F.floor(size * F.lit(i / sub_buckets)) + F.lit(1)).cast("int"))
+             for i in range(1, sub_buckets)]
+    return srt.select(*g, F.array(*picks).alias("__bounds"))
 
 
 def _value_ranges(df: DataFrame, value_col: str, g: list[str], sub_buckets: int):
@@ -61,14 +91,20 @@ def _value_ranges(df: DataFrame, value_col: str, g: list[str], sub_buckets: int)
     __off, n)``: rows in the range, rows in earlier ranges of the group, and
     the group size."""
     v = F.col(value_col)
-    vc = (df.where(v.isNotNull())
-          .groupBy(*g, v.alias("__v"))
-          .agg(F.count(F.lit(1)).alias("cnt")))
-    probs = [i / sub_buckets for i in range(1, sub_buckets)]
-    bounds = vc.groupBy(*g).agg(F.percentile_approx("__v", probs, _SKETCH_ACCURACY).alias("__bounds"))
-    vb = (_join_small(vc, bounds, g)
-          .withColumn("__s", _bucket_of(F.col("__v"), "__bounds", len(probs)))
-          .drop("__bounds"))
+    # Written once: the boundaries, the per-range counts and the ranking all
+    # read these rows (the input is scanned and shuffled a single time).
+    vc = cut_lineage(df.where(v.isNotNull())
+                     .groupBy(*g, v.alias("__v"))
+                     .agg(F.count(F.lit(1)).alias("cnt")))
+    bounds = range_bounds(vc, "__v", g, sub_buckets)
+    # A group whose sample came out empty has no boundaries: one range.
+    vb = (_join_small(vc, bounds, g, how="left")
+          .withColumn("__s", F.coalesce(_bucket_of(F.col("__v"), "__bounds", sub_buckets - 1), F.lit(0)))
+          .drop("__bounds")
+          # One exchange on (group, range) feeds both the per-range counts and
+          # the ranking inside ranges (both need exactly this clustering), so
+          # the range of a value is computed once per map task.
+          .repartition(*g, "__s"))
     # One row per (group, range): at most sub_buckets rows per group.
     per_range = vb.groupBy(*g, "__s").agg(F.sum("cnt").alias("__rc"))
     w_before = Window.partitionBy(*g).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
@@ -149,11 +185,12 @@ def previous_distinct(df: DataFrame, order_col: str, out_col: str,
     """
     p = list(partition_cols)
     k = F.col(order_col)
-    keys = df.where(k.isNotNull()).select(*p, k.alias("__k")).distinct()
-    probs = [i / sub_buckets for i in range(1, sub_buckets)]
-    bounds = keys.groupBy(*p).agg(F.percentile_approx("__k", probs, _SKETCH_ACCURACY).alias("__bounds"))
-    kb = _join_small(keys, bounds, p).withColumn("__s", _bucket_of(F.col("__k"), "__bounds", len(probs))) \
-        .drop("__bounds")
+    keys = cut_lineage(df.where(k.isNotNull()).select(*p, k.alias("__k")).distinct())
+    bounds = range_bounds(keys, "__k", p, sub_buckets)
+    kb = (_join_small(keys, bounds, p, how="left")
+          .withColumn("__s", F.coalesce(_bucket_of(F.col("__k"), "__bounds", sub_buckets - 1), F.lit(0)))
+          .drop("__bounds")
+          .repartition(*p, "__s"))
     range_max = kb.groupBy(*p, "__s").agg(F.max("__k").alias("__m"))
     range_max = range_max.withColumn(
         "__prev_m", F.lag("__m", 1).over(Window.partitionBy(*p).orderBy("__s")))

@@ -46,3 +46,18 @@ def to_long(row: DataFrame, value_cols: list[str], name_col: str = "column_name"
             value_col: str = "value", ids: list[str] | None = None) -> DataFrame:
     """Unpivot a (usually one-row) frame of per-column results to long form."""
     return row.unpivot(ids or [], value_cols, name_col, value_col)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` once in the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written rows.
+
+    Used where several branches of a plan read the same expensive
+    intermediate (a shuffle of the whole input): every branch then reads the
+    same rows, the input is scanned once, and a task lost with its executor
+    re-reads files instead of replaying the lineage. A reliable checkpoint,
+    never a local one. Runs one job when called.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
