@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import half_up
+from ..plans.stats import attach
 from ..sources.parquet import register_view
 
 
@@ -79,7 +80,7 @@ def left_join_counts(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> D
                  F.sum(F.col("__lc") * F.coalesce(F.col("__rc"), F.lit(1))).alias("n_rows"),
                  F.coalesce(F.sum(F.when(F.col("__rc").isNull(), F.col("__lc"))), F.lit(0)).alias("n_unmatched"))
     dups = rc.agg(F.count_if(F.col("__rc") > 1).alias("n_dup_right_keys"))
-    return left.crossJoin(F.broadcast(dups)).select(
+    return attach(left, dups).select(
         F.coalesce(F.col("n_left"), F.lit(0)).cast("long").alias("n_left"),
         F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
         F.col("n_unmatched").cast("long").alias("n_unmatched"),

@@ -11,10 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.stats import attach, drop_stats, one_row
+from ..plans.stats import drop_stats, one_row, scalar_struct
 
 TRAIN, TEST, NEITHER = "train", "test", "neither"
-SPLIT = "__st_split_date"
 
 
 def split_date(df: DataFrame, split_col: str, test_days: int = 45) -> DataFrame:
@@ -32,8 +31,10 @@ def pct_split_date(df: DataFrame, date_col: str, pct: float) -> DataFrame:
 
 
 def _with_split(df: DataFrame, split) -> tuple[DataFrame, Column]:
+    """The split date as a Column: a scalar subquery over a one-row frame
+    with ``split_date``, or a literal date."""
     if isinstance(split, DataFrame):
-        return attach(df, split.select(F.col("split_date").alias(SPLIT))), F.col(SPLIT)
+        return df, scalar_struct(split.select("split_date")).getField("split_date")
     if isinstance(split, (dt.date, str)):
         return df, F.to_date(F.lit(str(split)))
     return df, split

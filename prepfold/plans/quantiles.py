@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stats import cut_lineage
+from .stats import attach, cut_lineage
 
 DEFAULT_SUB_BUCKETS = 64
 SAMPLE_TARGET = 20000
@@ -54,13 +54,13 @@ def _bucket_of(value: Column, bounds: str, n_bounds: int) -> Column:
 def _join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join a per-group frame (one row per group) onto ``big``.
 
-    With no keys ``small`` has one row and is broadcast. With keys it has one
-    row per group; Spark/AQE chooses broadcast only when its runtime size is
-    under the threshold, otherwise a shuffle join (skew split by AQE).
+    With no keys ``small`` is a single row and is attached as a scalar
+    subquery. With keys it has one row per group; Spark/AQE chooses a
+    broadcast only when its runtime size is under the threshold, otherwise a
+    shuffle join (skewed partitions split by AQE).
     """
     if not keys:
-        return big.crossJoin(F.broadcast(small)) if how == "inner" else \
-            big.join(F.broadcast(small), how=how, on=F.lit(True))
+        return attach(big, small)
     return big.join(small, on=keys, how=how)
 
 
@@ -81,7 +81,8 @@ def range_bounds(distinct_vals: DataFrame, value_col: str, g: list[str], sub_buc
         .where(u < F.lit(float(sample_target)) / F.col("__nd"))
     srt = sample.groupBy(*g).agg(F.sort_array(F.collect_list(v)).alias("__sorted"))
     size = F.size("__sorted")
-    picks = [F.element_at("__sorted", (F.floor(size * F.lit(i / sub_buckets)) + F.lit(1)).cast("int"))
+    # try_element_at: an empty sample (no values) gives NULL boundaries -> one range.
+    picks = [F.try_element_at("__sorted", (F.floor(size * F.lit(i / sub_buckets)) + F.lit(1)).cast("int"))
              for i in range(1, sub_buckets)]
     return srt.select(*g, F.array(*picks).alias("__bounds"))
 

@@ -2,11 +2,12 @@
 
 The reference collects each scalar to the driver (one job per scalar, two per
 column for min-max scaling) and sends it back as a literal. Here every
-statistic a transform needs is one expression of a single aggregate; the
-resulting one-row frame is joined to every row. One row has a proven size
-bound, so the broadcast is always safe: the plan is a partial aggregate on
-each input partition, one tiny exchange, and a ``BroadcastNestedLoopJoin``
-against the one-row side.
+statistic a transform needs is one expression of a single aggregate, and the
+one-row result is used as a scalar subquery (``DataFrame.scalar()``) holding
+all statistics in one struct: Spark runs it once (the other references are
+``ReusedSubquery``), hands the value to every task like a literal, and can
+push a filter on it into the Parquet scan. No join is involved, and a frame
+that is not exactly one row fails instead of multiplying rows.
 """
 
 from __future__ import annotations
@@ -28,9 +29,15 @@ def one_row(df: DataFrame, named: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[expr.alias(name) for name, expr in named.items()])
 
 
+def scalar_struct(stats: DataFrame) -> Column:
+    """A one-row frame as one scalar-subquery struct column."""
+    return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns]).alias("__stats")).scalar()
+
+
 def attach(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame to every row of ``df``."""
-    return df.crossJoin(F.broadcast(stats))
+    s = scalar_struct(stats)
+    return df.withColumns({c: s.getField(c) for c in stats.columns})
 
 
 def with_stats(df: DataFrame, named: Mapping[str, Column]) -> DataFrame:
@@ -49,15 +56,18 @@ def to_long(row: DataFrame, value_cols: list[str], name_col: str = "column_name"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared checkpoint folder
-    (``spark.checkpoint.dir``) and continue from the written rows.
+    """Write ``df`` once as a Parquet table under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and continue from the written table.
 
     Used where several branches of a plan read the same expensive
-    intermediate (a shuffle of the whole input): every branch then reads the
-    same rows, the input is scanned once, and a task lost with its executor
-    re-reads files instead of replaying the lineage. A reliable checkpoint,
-    never a local one. Runs one job when called.
+    intermediate (a shuffle of the whole input): the input is scanned once,
+    every branch reads the same rows, and a task lost with its executor
+    re-reads files instead of replaying the lineage. One job (the write);
+    the read-back is columnar, so each branch reads only its columns.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    from ..session import shared_path
+    path = shared_path(df.sparkSession, "cut", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean, encode, model, split
+from ..plans.stats import attach
 
 CATEGORICALS = ["o_orderpriority", "c_mktsegment"]
 NUMERIC = ["n_lines", "total_qty", "avg_discount", "avg_tax", "c_acctbal", "c_nationkey"]
@@ -102,7 +103,7 @@ def evaluate_models(spark, sf_dir):
     train, test = split.split_by_date(oc, "d", split.split_date(oc, "d", TEST_DAYS))
     overall = train.agg(F.avg(LABEL).alias(PREDICTION))
     per_nation = train.groupBy("c_nationkey").agg(F.avg(LABEL).alias(PREDICTION))
-    preds = {"global_mean": test.crossJoin(F.broadcast(overall)),
+    preds = {"global_mean": attach(test, overall),
              "nation_mean": test.join(per_nation, on="c_nationkey", how="inner")}
     m = model.regression_metrics(preds, LABEL, PREDICTION)
     return m.select("model", "n", half_up("rmse", 6).alias("rmse"), half_up("r2", 9).alias("r2"))

@@ -16,11 +16,17 @@ def test_min_max_scale_range_and_constant(spark):
 
 
 def test_min_max_scale_is_one_statistics_pass(spark, tmp_path):
+    import re
     path = str(tmp_path / "t.parquet")
     spark.range(100).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b")).write.parquet(path)
-    df = spark.read.parquet(path)
-    plan = scale.min_max_scale(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan parquet") == 2  # rows + one fused statistics scan
+    out = scale.min_max_scale(spark.read.parquet(path), ["a", "b"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("\n+- == Initial Plan ==")[0]
+    executed = set(re.findall(r"[:+]- Subquery subquery#(\d+)", final))
+    # All four statistics come from one executed subquery; the rest reuse it.
+    assert len(executed) == 1 and "ReusedSubquery" in final
+    assert "Join" not in final
 
 
 def test_percent_scale_both_forms(spark):
