@@ -77,8 +77,8 @@ def regression_metrics(predictions: Mapping[str, DataFrame], label_col: str, pre
     ``rmse = sqrt(avg((p - y)^2))`` and ``r2 = 1 - SSE / SST`` with
     ``SST = sum((y - mean(y))^2)`` - the definitions of RegressionEvaluator.
     The frames are unioned and aggregated per model, so every metric of
-    every model comes out of one job; the per-model label mean is a small
-    (one row per model) join.
+    every model comes out of one aggregation; the per-model label mean is a
+    small (one row per model) join.
     """
     parts = [df.select(F.lit(name).alias("model"), F.col(label_col).cast("double").alias("__y"),
                        F.col(prediction_col).cast("double").alias("__p"))
@@ -87,7 +87,8 @@ def regression_metrics(predictions: Mapping[str, DataFrame], label_col: str, pre
     for p in parts[1:]:
         u = u.unionByName(p)
     means = u.groupBy("model").agg(F.avg("__y").alias("__mean"))
-    j = u.join(F.broadcast(means), on="model")
+    # One row per model: a size fixed by the call, broadcast by AQE at run time.
+    j = u.join(means, on="model")
     agg = j.groupBy("model").agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(F.pow(F.col("__p") - F.col("__y"), 2))).alias("rmse"),
