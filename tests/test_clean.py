@@ -92,3 +92,24 @@ def test_zero_fill_only_subset_and_exclusion(spark):
 def test_null_out_above(spark):
     df = spark.createDataFrame([(1.0,), (1000.0,)], "x double")
     assert sorted(r.x for r in clean.null_out_above(df, "x", 100).collect() if r.x is not None) == [1.0]
+
+
+@pytest.mark.parametrize("n_bounds", [7, 127, 4095])
+def test_two_level_range_search_equals_bisect(spark, n_bounds):
+    import bisect
+    rnd = random.Random(n_bounds)
+    bounds = sorted(float(rnd.randint(0, 3000)) for _ in range(n_bounds))  # with duplicates
+    values = [float(rnd.randint(-10, 3010)) for _ in range(2000)] + bounds[:50]
+    df = spark.createDataFrame([(v, bounds) for v in values], "v double, b array<double>")
+    got = [r.s for r in quantiles.with_range(df, "v", "b", n_bounds, "s").collect()]
+    assert got == [bisect.bisect_left(bounds, v) for v in values]
+
+
+def test_exact_quantile_default_ranges_many_values(spark):
+    rnd = random.Random(5)
+    rows = [("a" if i % 3 else "b", rnd.random() * 1e6) for i in range(30000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.quantile for r in quantiles.exact_quantile(df, "v", 0.37, ["g"]).collect()}
+    for g in "ab":
+        a = np.array([v for k, v in rows if k == g])
+        assert got[g] == pytest.approx(np.quantile(a, 0.37), rel=1e-12)
