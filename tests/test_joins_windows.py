@@ -87,3 +87,14 @@ def test_lag_plan_has_no_single_partition_for_rows(spark):
     # merged sketch or one row per range, never the rows themselves.
     for i in single:
         assert "Aggregate" in lines[i + 1], lines[i + 1]
+
+
+def test_lag_with_hot_date_keeps_every_row(spark):
+    base = dt.date(2021, 1, 1)
+    rows = [(base,)] * 600 + [(base + dt.timedelta(days=i),) for i in range(1, 1201)]
+    df = spark.createDataFrame(rows, "d date").repartition(6)
+    out = windows.lag_feature(df, "d", "prev")
+    assert out.count() == len(rows)
+    hot = out.where(F.col("d") == base).select("prev").distinct().collect()
+    assert [r.prev for r in hot] == [None]
+    assert out.where(F.col("d") == base + dt.timedelta(days=2)).first().prev == base + dt.timedelta(days=1)

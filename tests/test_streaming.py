@@ -19,3 +19,21 @@ def test_each_arriving_file_is_validated(spark, tmp_path):
             for r in spark.read.parquet(report).collect()}
     assert rows == {"month1.parquet": (1500, "Validation Passed"),
                     "month2.parquet": (15000, "Validation Failed")}
+
+
+def test_restart_processes_only_new_files(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    shutil.copy("/root/testdata/sf0.001/orders.parquet", src / "m1.parquet")
+    schema = spark.read.parquet(str(src / "m1.parquet")).schema
+    report, ckpt = str(tmp_path / "report"), str(tmp_path / "ckpt")
+    validate_arrivals(spark, str(src), schema, 1500, 6, report_path=report, checkpoint_path=ckpt) \
+        .awaitTermination(120)
+    # Restart with nothing new, then with one new file.
+    validate_arrivals(spark, str(src), schema, 1500, 6, report_path=report, checkpoint_path=ckpt) \
+        .awaitTermination(120)
+    shutil.copy("/root/testdata/sf0.001/orders.parquet", src / "m2.parquet")
+    validate_arrivals(spark, str(src), schema, 1500, 6, report_path=report, checkpoint_path=ckpt) \
+        .awaitTermination(120)
+    files = sorted(os.path.basename(r.source_file) for r in spark.read.parquet(report).collect())
+    assert files == ["m1.parquet", "m2.parquet"]
