@@ -24,27 +24,34 @@ def _prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def _fit_balanced(estimator, df: DataFrame):
-    """Fit on a balanced, persisted copy of ``df``.
+def stage_for_training(df: DataFrame) -> DataFrame:
+    """Spread ``df`` round-robin over all task slots and persist it.
 
     Tree learners pass over their input several times (metadata, split
-    sampling, binning). The input is spread round-robin over all task slots
-    (a small join result may have been coalesced to one partition, which
-    would train on one core; Spark sorts before a round-robin repartition,
-    so a retried task gets the same rows) and kept for the fit, so upstream
-    joins run once. Blocks lost with an executor are recomputed from
-    lineage.
+    sampling, binning). A small join result may have been coalesced to one
+    partition, which would train on one core; Spark sorts before a
+    round-robin repartition, so a retried task gets the same rows. Persisted
+    blocks lost with an executor are recomputed from lineage. Unpersist the
+    result when the models are trained.
     """
     spark = df.sparkSession
-    staged = df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_balanced(estimator, df: DataFrame, staged: bool):
+    """Fit on ``df`` staged for training (unless the caller already did)."""
+    if staged:
+        return estimator.fit(df)
+    frame = stage_for_training(df)
     try:
-        return estimator.fit(staged)
+        return estimator.fit(frame)
     finally:
-        staged.unpersist()
+        frame.unpersist()
 
 
 def train_gbt(train_df: DataFrame, features_col: str, label_col: str,
-              prediction_col: str = "Prediction_Price", seed: int = 42, **params) -> GBTRegressionModel:
+              prediction_col: str = "Prediction_Price", seed: int = 42, staged: bool = False,
+              **params) -> GBTRegressionModel:
     """L1: gradient-boosted trees (defaults 20 trees, depth 5, 32 bins).
 
     The running predictions are checkpointed to the shared folder every 10
@@ -54,16 +61,18 @@ def train_gbt(train_df: DataFrame, features_col: str, label_col: str,
     _prepare(train_df.sparkSession)
     gbt = GBTRegressor(featuresCol=features_col, labelCol=label_col, predictionCol=prediction_col,
                        seed=seed, checkpointInterval=10, **params)
-    return _fit_balanced(gbt, train_df)
+    return _fit_balanced(gbt, train_df, staged)
 
 
 def train_rf(train_df: DataFrame, features_col: str, label_col: str,
-             prediction_col: str = "Prediction_Price", seed: int = 42, **params) -> RandomForestRegressionModel:
-    """L2: random forest baseline."""
+             prediction_col: str = "Prediction_Price", seed: int = 42, staged: bool = False,
+             **params) -> RandomForestRegressionModel:
+    """L2: random forest baseline. ``staged=True`` when ``train_df`` comes
+    from ``stage_for_training`` (several models on one frame)."""
     _prepare(train_df.sparkSession)
     rf = RandomForestRegressor(featuresCol=features_col, labelCol=label_col,
                                predictionCol=prediction_col, seed=seed, checkpointInterval=10, **params)
-    return _fit_balanced(rf, train_df)
+    return _fit_balanced(rf, train_df, staged)
 
 
 def predict(model, df: DataFrame) -> DataFrame:

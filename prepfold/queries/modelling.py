@@ -66,8 +66,14 @@ def rfr_predict(spark, sf_dir):
 def evaluate_trees(spark, sf_dir):
     """L4: RMSE and R² of both tree models, one aggregation."""
     train, test = model_data(Tables(spark, sf_dir))
-    preds = {"Gradient Boosted Trees": _predictions(model.train_gbt(train, "features", LABEL, PREDICTION), test),
-             "Random Forest Regression": _predictions(model.train_rf(train, "features", LABEL, PREDICTION), test)}
+    staged = model.stage_for_training(train)  # both models read one persisted copy
+    try:
+        gbt = model.train_gbt(staged, "features", LABEL, PREDICTION, staged=True)
+        rf = model.train_rf(staged, "features", LABEL, PREDICTION, staged=True)
+    finally:
+        staged.unpersist()
+    preds = {"Gradient Boosted Trees": _predictions(gbt, test),
+             "Random Forest Regression": _predictions(rf, test)}
     return model.regression_metrics(preds, LABEL, PREDICTION)
 
 
