@@ -8,6 +8,7 @@ from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import joins, windows
 from ..plans.quantiles import exact_quantile
+from ..plans.stats import cut_lineage
 
 
 def walk_lookup(t: Tables):
@@ -90,13 +91,20 @@ def join_audit_fanout(spark, sf_dir):
     return joins.fanout_audit(e, w, {"all_keys": ["user_id", "value"], "too_few_keys": ["user_id"]})
 
 
-def nation_year_prices(t: Tables):
+def orders_with_nation(t: Tables):
+    """Orders with their customer's nation, joined once and written once:
+    both the yearly price lookup and the rows read it, so the large
+    orders-customer shuffle join runs a single time."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return cut_lineage(o.join(c, on="o_custkey", how="inner").drop("o_custkey"))
+
+
+def nation_year_prices(oc):
     """Stand-in for the yearly median home value per city: exact median
     order price per (nation, year)."""
-    o = t.orders.select("o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    oc = o.join(c, on="o_custkey", how="inner")
-    return exact_quantile(oc, "o_totalprice", 0.5, ["c_nationkey", "year"], out_col="median_price") \
+    y = oc.select("c_nationkey", F.year("o_orderdate").alias("year"), "o_totalprice")
+    return exact_quantile(y, "o_totalprice", 0.5, ["c_nationkey", "year"], out_col="median_price") \
         .withColumnRenamed("c_nationkey", "nation")
 
 
@@ -113,11 +121,9 @@ def nation_year_prices(t: Tables):
 def prior_period_join(spark, sf_dir):
     """F5 (flagship): each order gets last year's median order price of its
     customer's nation."""
-    t = Tables(spark, sf_dir)
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    oc = o.join(c, on="o_custkey", how="inner")
-    out = joins.prior_period_join(oc, nation_year_prices(t), key="c_nationkey", date_col="o_orderdate",
+    oc = orders_with_nation(Tables(spark, sf_dir))
+    out = joins.prior_period_join(oc.select("o_orderkey", "c_nationkey", "o_orderdate"),
+                                  nation_year_prices(oc), key="c_nationkey", date_col="o_orderdate",
                                   lookup_key="nation", lookup_year="year", shift=1)
     return out.select("o_orderkey", "c_nationkey", "list_year", "report_year",
                       half_up("median_price", 6).alias("median_price"))
