@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Tables
+from ..plans.stats import cut_lineage
 
 
 def priced_orders(t: Tables) -> DataFrame:
@@ -14,23 +15,26 @@ def priced_orders(t: Tables) -> DataFrame:
                            "o_orderpriority", F.ln("o_totalprice").alias("log_price"))
 
 
-def listings(t: Tables) -> DataFrame:
+def listings(t: Tables, written: bool = False) -> DataFrame:
     """Lines as listings: listed on the order date, off market on the ship
     date; only lines shipped on or after the order date.
 
     ``lineitem`` joins ``orders`` on its key (a sort-merge join at scale; AQE
-    splits a skewed key).
+    splits a skewed key). ``written=True`` writes the result once
+    (``cut_lineage``) for transforms that read it twice - a statistic and
+    the rows - so the large join runs a single time.
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                            "l_shipdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").where(F.col("l_shipdate") >= F.col("o_orderdate"))
-    return j.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                    "o_totalprice",
-                    F.col("o_orderdate").cast("date").alias("list_date"),
-                    F.col("l_shipdate").cast("date").alias("offmkt_date"),
-                    F.datediff(F.col("l_shipdate").cast("date"),
-                               F.col("o_orderdate").cast("date")).alias("days_on_market"))
+    out = j.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                   "o_totalprice",
+                   F.col("o_orderdate").cast("date").alias("list_date"),
+                   F.col("l_shipdate").cast("date").alias("offmkt_date"),
+                   F.datediff(F.col("l_shipdate").cast("date"),
+                              F.col("o_orderdate").cast("date")).alias("days_on_market"))
+    return cut_lineage(out) if written else out
 
 
 LISTINGS_SQL = """

@@ -31,7 +31,7 @@ from .common import LISTINGS_SQL, listings  # noqa: E402
 """)
 def percent_scale(spark, sf_dir):
     """Days on market on a 0..100 scale."""
-    lst = listings(Tables(spark, sf_dir)).select("l_orderkey", "l_linenumber", "days_on_market")
+    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "days_on_market")
     return scale.percent_scale(lst, "days_on_market", "percentage_scaled_days")
 
 
@@ -44,7 +44,7 @@ def percent_scale(spark, sf_dir):
 """)
 def percent_scale_round_first(spark, sf_dir):
     """E1 as the reference wrote it (round, then times 100)."""
-    lst = listings(Tables(spark, sf_dir)).select("l_orderkey", "l_linenumber", "days_on_market")
+    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "days_on_market")
     return scale.percent_scale_round_first(lst, "days_on_market", "percentage_scaled_days")
 
 

@@ -18,7 +18,7 @@ AS_OF_DATE = dt.date(2000, 12, 10)
 @register("split_date", sql=SPLIT_SQL)
 def split_date(spark, sf_dir):
     """Q1: last off-market date minus 45 days."""
-    return split.split_date(listings(Tables(spark, sf_dir)), "offmkt_date", 45)
+    return split.split_date(listings(Tables(spark, sf_dir), written=True), "offmkt_date", 45)
 
 
 def _label_sql(split_expr: str) -> str:
@@ -35,7 +35,7 @@ def _label_sql(split_expr: str) -> str:
 @register("time_split", sql=_label_sql(SPLIT_SQL))
 def time_split(spark, sf_dir):
     """Q2: train / test / neither around the split date."""
-    lst = listings(Tables(spark, sf_dir)).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
+    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
     return split.label_split(lst, "list_date", "offmkt_date", split.split_date(lst, "offmkt_date", 45))
 
 
@@ -60,5 +60,5 @@ def asof_days_open(spark, sf_dir):
 """))
 def time_split_pct(spark, sf_dir):
     """Q4: split at 80% of the listing-date span."""
-    lst = listings(Tables(spark, sf_dir)).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
+    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
     return split.label_split(lst, "list_date", "offmkt_date", split.pct_split_date(lst, "list_date", 0.8))
