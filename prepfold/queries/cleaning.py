@@ -53,7 +53,7 @@ def exclude_values(spark, sf_dir):
 """)
 def impute_mean(spark, sf_dir):
     """Mean imputation of the label columns (as double)."""
-    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    j = docs_labeled(Tables(spark, sf_dir), written=True).select("doc_id", "quality", "toxic")
     out = clean.impute_mean(j, ["quality", "toxic"])
     return out.select("doc_id", half_up("quality", 9).alias("quality"),
                       half_up("toxic", 9).alias("toxic"))
@@ -68,7 +68,7 @@ def impute_mean(spark, sf_dir):
 """)
 def impute_median(spark, sf_dir):
     """Exact median imputation of the label columns."""
-    j = docs_labeled(Tables(spark, sf_dir)).select("doc_id", "quality", "toxic")
+    j = docs_labeled(Tables(spark, sf_dir), written=True).select("doc_id", "quality", "toxic")
     return clean.impute_median(j, ["quality", "toxic"])
 
 

@@ -47,12 +47,14 @@ LISTINGS_SQL = """
 """
 
 
-def docs_labeled(t: Tables) -> DataFrame:
+def docs_labeled(t: Tables, written: bool = False) -> DataFrame:
     """Documents left-joined to labels: ``quality``/``toxic`` are NULL for
-    unlabeled documents (the NULL-bearing stand-in)."""
+    unlabeled documents (the NULL-bearing stand-in). ``written=True`` writes
+    the join once for two-pass transforms (see ``listings``)."""
     d = t.documents.select("doc_id", "lang", "source", "n_chars")
     lab = t.labels.select("doc_id", "quality", "toxic")
-    return d.join(lab, on="doc_id", how="left")
+    out = d.join(lab, on="doc_id", how="left")
+    return cut_lineage(out) if written else out
 
 
 DOCS_LABELED_SQL = """
