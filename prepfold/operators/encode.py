@@ -29,10 +29,11 @@ def binarize(df: DataFrame, c: str, threshold: float, out_col: str) -> DataFrame
     return out.drop(tmp)
 
 
-def weekend_flag(df: DataFrame, date_col: str, day_col: str, out_col: str) -> DataFrame:
+def weekend_flag(df: DataFrame, date_col: str, day_col: str, out_col: str,
+                 threshold: float = 5.0) -> DataFrame:
     """J1 as meant by the reference: Monday=1 .. Sunday=7 (as double), then
-    ``> 5.0`` marks Saturday and Sunday."""
-    return binarize(df.withColumn(day_col, iso_day_of_week(date_col)), day_col, 5.0, out_col)
+    ``> threshold`` (5.0) marks Saturday and Sunday."""
+    return binarize(df.withColumn(day_col, iso_day_of_week(date_col)), day_col, threshold, out_col)
 
 
 def bucketize(df: DataFrame, c: str, splits: Sequence[float], out_col: str,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .fixed import MAX_MISSING_SHARE, MIN_OBSERVATIONS, SIGMA_WIDTH
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean
@@ -20,7 +21,7 @@ from .common import priced_orders
 def sigma_filter(spark, sf_dir):
     """D3 on E4: orders whose log price lies strictly within 3 sigma."""
     p = priced_orders(Tables(spark, sf_dir)).select("o_orderkey", "o_totalprice", "log_price")
-    kept = clean.sigma_filter(p, "log_price", 3.0)
+    kept = clean.sigma_filter(p, "log_price", SIGMA_WIDTH)
     return kept.select("o_orderkey", "o_totalprice", half_up("log_price", 9).alias("log_price"))
 
 
@@ -102,15 +103,15 @@ DOC_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
     WITH j AS ({DOCS_LABELED_SQL}),
          c AS (""" + "\nUNION ALL\n".join(
     f"SELECT {i} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
-    "count(*) AS total FROM j" for i, c in enumerate(DOC_COLS)) + """)
+    "count(*) AS total FROM j" for i, c in enumerate(DOC_COLS)) + f""")
     SELECT position, column_name, null_count, total,
            CAST(null_count AS DOUBLE) / total AS null_share,
-           coalesce(CAST(null_count AS DOUBLE) / total > 0.6, false) AS dropped
+           coalesce(CAST(null_count AS DOUBLE) / total > {MAX_MISSING_SHARE}, false) AS dropped
     FROM c
 """)
 def drop_sparse_columns(spark, sf_dir):
     """Which columns are more than 60% missing (the drop decision)."""
-    return clean.null_share_report(docs_labeled(Tables(spark, sf_dir)), 0.6)
+    return clean.null_share_report(docs_labeled(Tables(spark, sf_dir)), MAX_MISSING_SHARE)
 
 
 SIZES = list(range(1, 51))
@@ -124,12 +125,12 @@ def size_flags(part):
 @register("drop_low_obs", sql="\nUNION ALL\n".join(
     f"SELECT {i} AS position, 'size_{k}' AS column_name, "
     f"CAST(coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) AS BIGINT) AS obs_count, "
-    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) <= 30 AS dropped FROM part"
+    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) <= {MIN_OBSERVATIONS} AS dropped FROM part"
     for i, k in enumerate(SIZES)))
 def drop_low_obs(spark, sf_dir):
     """Binary size indicators with at most 30 ones (all 50 columns)."""
     flags = size_flags(Tables(spark, sf_dir).part)
-    rep = clean.low_observation_report(flags, [f"size_{k}" for k in SIZES], 30)
+    rep = clean.low_observation_report(flags, [f"size_{k}" for k in SIZES], MIN_OBSERVATIONS)
     return rep.withColumn("obs_count", F.col("obs_count").cast("bigint"))
 
 

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .fixed import BUCKET_SPLITS, WEEKEND_THRESHOLD
 from ..catalog import Tables, register
 from ..operators import encode
 from .common import DOCS_LABELED_SQL, docs_labeled
 
 
-@register("binarize_weekend", sql="""
+@register("binarize_weekend", sql=f"""
     SELECT o_orderkey, CAST(isodow(o_orderdate) AS DOUBLE) AS list_day_of_week,
-           CAST(CASE WHEN isodow(o_orderdate) > 5 THEN 1 ELSE 0 END AS DOUBLE) AS listed_on_weekend
+           CAST(CASE WHEN isodow(o_orderdate) > {WEEKEND_THRESHOLD} THEN 1 ELSE 0 END AS DOUBLE) AS listed_on_weekend
     FROM orders
 """)
 def binarize_weekend(spark, sf_dir):
     """Monday=1..Sunday=7, Binarizer(5.0) marks the weekend."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderdate")
-    out = encode.weekend_flag(o, "o_orderdate", "list_day_of_week", "listed_on_weekend")
+    out = encode.weekend_flag(o, "o_orderdate", "list_day_of_week", "listed_on_weekend", WEEKEND_THRESHOLD)
     return out.select("o_orderkey", "list_day_of_week", "listed_on_weekend")
 
 
@@ -30,7 +31,7 @@ def binarize_weekend(spark, sf_dir):
 def bucketize(spark, sf_dir):
     """Splits 0,1,2,3,4,5,inf; five and above share the last bucket."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber")
-    return encode.bucketize(li, "l_linenumber", [0, 1, 2, 3, 4, 5, float("inf")], "line_bucket")
+    return encode.bucketize(li, "l_linenumber", BUCKET_SPLITS, "line_bucket")
 
 
 _SEGMENT_LABELS = """

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .fixed import ACRES_TO_SQFT
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import features
@@ -19,23 +20,23 @@ def _lines(spark, sf_dir):
     return Tables(spark, sf_dir).lineitem
 
 
-@register("unit_convert", sql="""
-    SELECT l_orderkey, l_linenumber, l_quantity * 43560.0 AS lot_size_sqft FROM lineitem
+@register("unit_convert", sql=f"""
+    SELECT l_orderkey, l_linenumber, l_quantity * {ACRES_TO_SQFT} AS lot_size_sqft FROM lineitem
 """)
 def unit_convert(spark, sf_dir):
     """K1: quantity times 43560 (acres to square feet)."""
     li = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity")
-    return features.unit_convert(li, "l_quantity", 43560.0, "lot_size_sqft") \
+    return features.unit_convert(li, "l_quantity", ACRES_TO_SQFT, "lot_size_sqft") \
         .select("l_orderkey", "l_linenumber", "lot_size_sqft")
 
 
-@register("difference_feature", sql="""
-    SELECT l_orderkey, l_linenumber, l_quantity * 43560.0 - l_extendedprice AS yard_size FROM lineitem
+@register("difference_feature", sql=f"""
+    SELECT l_orderkey, l_linenumber, l_quantity * {ACRES_TO_SQFT} - l_extendedprice AS yard_size FROM lineitem
 """)
 def difference_feature(spark, sf_dir):
     """K2: a derived column minus another."""
     li = _lines(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    li = features.unit_convert(li, "l_quantity", 43560.0, "lot_size_sqft")
+    li = features.unit_convert(li, "l_quantity", ACRES_TO_SQFT, "lot_size_sqft")
     return features.difference(li, "lot_size_sqft", "l_extendedprice", "yard_size") \
         .select("l_orderkey", "l_linenumber", "yard_size")
 

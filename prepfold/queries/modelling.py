@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from .fixed import SEED
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean, encode, model, split
@@ -54,14 +55,14 @@ def _predictions(m, test):
 def gbt_predict(spark, sf_dir):
     """L1/L3: gradient-boosted trees, seed 42, predictions on the test year."""
     train, test = model_data(Tables(spark, sf_dir))
-    return _predictions(model.train_gbt(train, "features", LABEL, PREDICTION, seed=42), test)
+    return _predictions(model.train_gbt(train, "features", LABEL, PREDICTION, seed=SEED), test)
 
 
 @register("rfr_predict")
 def rfr_predict(spark, sf_dir):
     """L2/L3: random forest baseline."""
     train, test = model_data(Tables(spark, sf_dir))
-    return _predictions(model.train_rf(train, "features", LABEL, PREDICTION, seed=42), test)
+    return _predictions(model.train_rf(train, "features", LABEL, PREDICTION, seed=SEED), test)
 
 
 @register("evaluate_trees")
@@ -122,7 +123,7 @@ def evaluate_models(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """The ten most important features of the boosted model."""
     train, _ = model_data(Tables(spark, sf_dir))
-    m = model.train_gbt(train, "features", LABEL, PREDICTION, seed=42)
+    m = model.train_gbt(train, "features", LABEL, PREDICTION, seed=SEED)
     return model.feature_importance(m, model.feature_names(train, "features"), top=10)
 
 
@@ -131,7 +132,7 @@ def model_roundtrip(spark, sf_dir):
     """A4/A5: save the forest to the shared folder, load it back and count
     test rows whose predictions are equal before and after."""
     train, test = model_data(Tables(spark, sf_dir))
-    m = model.train_rf(train, "features", LABEL, PREDICTION, seed=42)
+    m = model.train_rf(train, "features", LABEL, PREDICTION, seed=SEED)
     path = model.save_model(m, name=f"rfr_{uuid.uuid4().hex[:8]}")
     loaded = model.load_model(model.RandomForestRegressionModel, path)
     # Both models score the same rows in one pass (no join of two outputs).

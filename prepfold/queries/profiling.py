@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .fixed import SAMPLE_FRACTION, SEED
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean, profile, validate
@@ -137,14 +138,14 @@ def skewness(spark, sf_dir):
 def sample(spark, sf_dir):
     """C4: Bernoulli sample without replacement, fraction 0.5, seed 42."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
-    return profile.bernoulli_sample(o, 0.5, 42)
+    return profile.bernoulli_sample(o, SAMPLE_FRACTION, SEED)
 
 
 @register("hash_sample")
 def hash_sample(spark, sf_dir):
     """C4, layout-independent: half of the orders chosen by key hash."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
-    return profile.hash_sample(o, ["o_orderkey"], 0.5, 42)
+    return profile.hash_sample(o, ["o_orderkey"], SAMPLE_FRACTION, SEED)
 
 
 @register("distinct_values", sql="SELECT DISTINCT o_orderpriority FROM orders")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from .fixed import TEST_DAYS
 from ..catalog import Tables, register
 from ..operators import split
 from .common import LISTINGS_SQL, listings
 
-SPLIT_SQL = f"SELECT CAST(max(offmkt_date) - 45 AS DATE) AS split_date FROM ({LISTINGS_SQL})"
+SPLIT_SQL = f"SELECT CAST(max(offmkt_date) - {TEST_DAYS} AS DATE) AS split_date FROM ({LISTINGS_SQL})"
 
 # Fixed value: the as-of date of the leakage correction (a date literal, as
 # in the reference), inside the driver data's order-date range.
@@ -18,7 +19,7 @@ AS_OF_DATE = dt.date(2000, 12, 10)
 @register("split_date", sql=SPLIT_SQL)
 def split_date(spark, sf_dir):
     """Q1: last off-market date minus 45 days."""
-    return split.split_date(listings(Tables(spark, sf_dir), written=True), "offmkt_date", 45)
+    return split.split_date(listings(Tables(spark, sf_dir), written=True), "offmkt_date", TEST_DAYS)
 
 
 def _label_sql(split_expr: str) -> str:
@@ -36,7 +37,7 @@ def _label_sql(split_expr: str) -> str:
 def time_split(spark, sf_dir):
     """Q2: train / test / neither around the split date."""
     lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
-    return split.label_split(lst, "list_date", "offmkt_date", split.split_date(lst, "offmkt_date", 45))
+    return split.label_split(lst, "list_date", "offmkt_date", split.split_date(lst, "offmkt_date", TEST_DAYS))
 
 
 @register("asof_days_open", sql=f"""
