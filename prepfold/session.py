@@ -45,12 +45,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by the cluster (``spark.checkpoint.dir``)."""
+    """The shared folder named by the cluster (``spark.checkpoint.dir``), or
+    the one set on the context at run time."""
     value = spark.conf.get(CHECKPOINT_KEY, None)
     if value:
         return value
     value = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
-    return value or None
+    return value or spark.sparkContext.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -59,18 +60,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder comes from ``spark.checkpoint.dir`` and is shared
     storage; without it this raises instead of falling back to a folder
     that only one machine can see. Only a local-mode session without the
-    setting (tests, bench) gets a fresh scratch folder.
+    setting (tests, bench) gets a fresh scratch folder, set on the context
+    (``spark.checkpoint.dir`` itself cannot change after start-up).
     """
+    sc = spark.sparkContext
     path = checkpoint_dir(spark)
     if not path:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (model files, "
                                "tree checkpoints and stream state are written there)")
-        path = tempfile.mkdtemp(prefix="prepfold-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="prepfold-ckpt-"))
+        return sc.getCheckpointDir()
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

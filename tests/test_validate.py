@@ -50,3 +50,44 @@ def test_sizing_conf_for_100_tb():
     conf = sizing_conf(100 * (1 << 40), total_cores=4000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     assert sizing_conf(1 << 30, total_cores=64)["spark.sql.shuffle.partitions"] == "128"
+
+
+class _StubConf:
+    def __init__(self, value=None):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value if self.value is not None else default
+
+
+class _StubContext:
+    def __init__(self, master, value=None):
+        self.master, self._conf, self.dir = master, _StubConf(value), None
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = "file:" + path
+
+
+class _StubSession:
+    def __init__(self, master, value=None):
+        self.conf, self.sparkContext = _StubConf(value), _StubContext(master, value)
+
+
+def test_checkpoint_dir_fallbacks():
+    import pytest
+
+    from prepfold.session import ensure_checkpoint_dir
+    named = _StubSession("yarn", "hdfs:///shared/ckpt")
+    assert ensure_checkpoint_dir(named) == "hdfs:///shared/ckpt"
+    assert named.sparkContext.dir == "file:hdfs:///shared/ckpt"
+    local = _StubSession("local[4]")
+    path = ensure_checkpoint_dir(local)
+    assert path.startswith("file:") and ensure_checkpoint_dir(local) == path
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_StubSession("yarn"))
