@@ -4,7 +4,10 @@ Each entry runs library operators over the driver tables (the stand-ins of
 FIXTURES.md section 3) and may carry the equivalent DuckDB SQL. Float outputs
 that two engines can compute with different last bits (sums, logs,
 correlations) are rounded half-up with plain IEEE operations on both sides
-(``half_up`` / ``hu``); everything else is compared as is.
+(``half_up`` / ``hu``). Dates and arrays are rendered as text on both
+sides (ISO ``YYYY-MM-DD`` and JSON, which both engines print identically), so
+the comparison does not depend on how a client library maps those types;
+everything else is compared as is.
 """
 
 from __future__ import annotations

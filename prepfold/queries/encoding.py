@@ -56,8 +56,8 @@ def string_index(spark, sf_dir):
     WITH l AS ({_SEGMENT_LABELS}),
          n AS (SELECT count(*) AS k FROM l)
     SELECT c.c_custkey, CAST(l.idx AS DOUBLE) AS segment_index,
-           CAST(list_transform(range(n.k - 1), lambda i: CASE WHEN i = l.idx THEN 1.0 ELSE 0.0 END) AS DOUBLE[])
-               AS segment_vec
+           CAST(to_json(CAST(list_transform(range(n.k - 1), lambda i: CASE WHEN i = l.idx THEN 1.0 ELSE 0.0 END)
+                             AS DOUBLE[])) AS VARCHAR) AS segment_vec
     FROM customer c JOIN l ON c.c_mktsegment = l.c_mktsegment, n
 """)
 def one_hot(spark, sf_dir):
@@ -65,7 +65,7 @@ def one_hot(spark, sf_dir):
     c = Tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
     idx, _ = encode.string_index(c, "c_mktsegment", "segment_index")
     out, _ = encode.one_hot(idx, "segment_index", "segment_vec")
-    return out.select("c_custkey", "segment_index", encode.as_array("segment_vec").alias("segment_vec"))
+    return out.select("c_custkey", "segment_index", F.to_json(encode.as_array("segment_vec")).alias("segment_vec"))
 
 
 CATEGORICALS = ["lang", "source", "quality_label"]
@@ -96,10 +96,10 @@ def index_categoricals(spark, sf_dir):
 ASSEMBLED = ["l_quantity", "l_extendedprice", "l_linenumber"]
 
 
-@register("assemble_features", sql="SELECT l_orderkey, [" + ", ".join(
-    f"CAST({c} AS DOUBLE)" for c in ASSEMBLED) + "] AS features FROM lineitem")
+@register("assemble_features", sql="SELECT l_orderkey, CAST(to_json([" + ", ".join(
+    f"CAST({c} AS DOUBLE)" for c in ASSEMBLED) + "]) AS VARCHAR) AS features FROM lineitem")
 def assemble_features(spark, sf_dir):
     """Numeric columns into one feature vector."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", *ASSEMBLED)
     out = encode.assemble(li, ASSEMBLED)
-    return out.select("l_orderkey", encode.as_array("features").alias("features"))
+    return out.select("l_orderkey", F.to_json(encode.as_array("features")).alias("features"))

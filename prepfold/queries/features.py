@@ -82,8 +82,9 @@ def compound_ratio(spark, sf_dir):
 
 
 @register("parse_date", sql="""
-    SELECT o_orderkey, CAST(try_strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS list_date,
-           TRY_CAST(o_orderpriority AS DATE) AS bad_date
+    SELECT o_orderkey,
+           CAST(CAST(try_strptime(strftime(o_orderdate, '%Y-%m-%d'), '%Y-%m-%d') AS DATE) AS VARCHAR) AS list_date,
+           CAST(TRY_CAST(o_orderpriority AS DATE) AS VARCHAR) AS bad_date
     FROM orders
 """)
 def parse_date(spark, sf_dir):
@@ -92,7 +93,8 @@ def parse_date(spark, sf_dir):
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("list_date"),
         F.col("o_orderpriority").alias("bad_date"))
     o = features.to_date_column(o, "list_date", "yyyy-MM-dd")
-    return features.to_date_column(o, "bad_date")
+    o = features.to_date_column(o, "bad_date")
+    return o.select("o_orderkey", *[F.col(c).cast("string").alias(c) for c in ("list_date", "bad_date")])
 
 
 @register("day_of_week", sql="""
@@ -116,11 +118,12 @@ def text_flag(spark, sf_dir):
     return features.text_flag(p, "p_name", "%blue%", "%red%", "is_blue")
 
 
-@register("split_list", sql="SELECT p_partkey, string_split(p_name, ' ') AS name_tokens FROM part")
+@register("split_list", sql="SELECT p_partkey, CAST(to_json(string_split(p_name, ' ')) AS VARCHAR) AS name_tokens FROM part")
 def split_list(spark, sf_dir):
     """I2."""
     p = Tables(spark, sf_dir).part.select("p_partkey", "p_name")
-    return features.split_list(p, "p_name", " ", "name_tokens").select("p_partkey", "name_tokens")
+    out = features.split_list(p, "p_name", " ", "name_tokens")
+    return out.select("p_partkey", F.to_json("name_tokens").alias("name_tokens"))
 
 
 def _tokens(spark, sf_dir):

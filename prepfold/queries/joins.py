@@ -135,12 +135,14 @@ def report_dates(t: Tables):
 
 
 @register("lag_feature", sql="""
-    SELECT report_date, lag(report_date, 1) OVER (ORDER BY report_date) AS previous_date
+    SELECT CAST(report_date AS VARCHAR) AS report_date,
+           CAST(lag(report_date, 1) OVER (ORDER BY report_date) AS VARCHAR) AS previous_date
     FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS report_date FROM orders)
 """)
 def lag_feature(spark, sf_dir):
     """H1: previous report date of each report date."""
-    return windows.lag_feature(report_dates(Tables(spark, sf_dir)), "report_date", "previous_date")
+    out = windows.lag_feature(report_dates(Tables(spark, sf_dir)), "report_date", "previous_date")
+    return out.select(*[F.col(c).cast("string").alias(c) for c in ("report_date", "previous_date")])
 
 
 @register("report_gap_audit", sql="""
