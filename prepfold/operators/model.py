@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shared_path
+from ..session import default_parallelism, ensure_checkpoint_dir, shared_path
 
 
 def _prepare(spark: SparkSession) -> None:
@@ -34,8 +34,7 @@ def stage_for_training(df: DataFrame) -> DataFrame:
     blocks lost with an executor are recomputed from lineage. Unpersist the
     result when the models are trained.
     """
-    spark = df.sparkSession
-    return df.repartition(spark.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartition(default_parallelism(df.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _fit_balanced(estimator, df: DataFrame, staged: bool):

@@ -44,14 +44,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise on sparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by the cluster (``spark.checkpoint.dir``), or
     the one set on the context at run time."""
     value = spark.conf.get(CHECKPOINT_KEY, None)
     if value:
         return value
-    value = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
-    return value or spark.sparkContext.getCheckpointDir() or None
+    sc = _context(spark)
+    if sc is None:
+        return None
+    value = sc.getConf().get(CHECKPOINT_KEY, None)
+    return value or sc.getCheckpointDir() or None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -63,19 +74,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting (tests, bench) gets a fresh scratch folder, set on the context
     (``spark.checkpoint.dir`` itself cannot change after start-up).
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     path = checkpoint_dir(spark)
     if not path:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (model files, "
                                "tree checkpoints and stream state are written there)")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="prepfold-ckpt-"))
         return sc.getCheckpointDir()
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (the context's default parallelism, else
+    the shuffle partition count)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (model files, cut tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
