@@ -53,7 +53,12 @@ def sql_left_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> Data
     right_cols = [c for c in lookup.columns if c not in keys]
     select = ", ".join([f"l.`{c}`" for c in df.columns] + [f"r.`{c}`" for c in right_cols])
     cond = " AND ".join(f"l.`{k}` = r.`{k}`" for k in keys)
-    return spark.sql(f"SELECT {select} FROM {lv} l LEFT JOIN {rv} r ON {cond}")
+    out = spark.sql(f"SELECT {select} FROM {lv} l LEFT JOIN {rv} r ON {cond}")
+    # The views are resolved into the plan at analysis; drop them so repeated
+    # calls do not fill the session catalog.
+    spark.catalog.dropTempView(lv)
+    spark.catalog.dropTempView(rv)
+    return out
 
 
 def _key_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:

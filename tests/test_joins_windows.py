@@ -42,7 +42,9 @@ def test_join_audit_counts_equal_materialised_join(spark):
 def test_sql_left_join_names_each_key_once(spark):
     left = spark.createDataFrame([(1, 2.0)], "k int, v double")
     right = spark.createDataFrame([(1, 9)], "k int, w int")
+    views_before = {t.name for t in spark.catalog.listTables()}
     out = joins.sql_left_join(left, right, ["k"])
+    assert {t.name for t in spark.catalog.listTables()} == views_before
     assert out.columns == ["k", "v", "w"] and out.first().w == 9
 
 
