@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as se
+from prepfold import catalog
 from tools.oracle_check import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
-SQL = se.oracle_sql()
+SQL = {n: e.sql for n, e in catalog.REGISTRY.items() if e.sql}
 MODEL_QUERIES = {"gbt_predict", "rfr_predict", "evaluate_trees", "feature_importance", "model_roundtrip"}
 
 
@@ -17,8 +18,8 @@ def test_entry_runs(spark):
 
 
 def test_oracle_keys_are_queries():
-    assert set(SQL) <= set(se.queries())
-    missing = set(se.queries()) - set(SQL)
+    assert set(se.oracle_sql()) <= set(se.queries())
+    missing = set(catalog.REGISTRY) - set(SQL)
     assert missing <= MODEL_QUERIES | {"sample", "hash_sample"}
 
 
