@@ -1,9 +1,8 @@
 """Exact deduplication by distributed MSD radix partitioning.
 
 Texts are split into ever smaller groups by successive digits, a digit being
-a block of bytes: round 0 groups by the first 64 bytes, the next rounds by
-the following 448, 3584, ... bytes (each round ends eight times further into
-the text). A group is named by its smallest row, so equality is decided by
+a block of bytes: round 0 groups by the first 64 bytes, the next rounds go up
+to 4 KiB, 256 KiB, ... (each ends 64 times further into the text). A group is named by its smallest row, so equality is decided by
 the bytes alone; no digest takes part. A group that is down to one row, or
 whose texts have ended, is done and leaves; the others take the next digit.
 The number of rounds grows with the logarithm of the longest text that still
@@ -12,7 +11,8 @@ has a twin, and only rows that still share a prefix are read again.
 Each round aggregates (group, digit) with map-side combine, so a hot prefix
 is reduced before it is shuffled, writes the groups that have more than one
 row, and joins them back; both join sides are exchanges of their own, which
-AQE splits where one prefix holds a large share of the rows.
+AQE splits where one prefix holds a large share of the rows. Only the bytes
+after the digit travel beside it, so a round moves each open text once.
 
 Defined results: a null text counts as empty and all empty texts are equal;
 of equal texts the row with the smallest doc_id stays (a null doc_id sorts
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .shared import table, written
 
 FIRST_DIGIT = 64
-GROWTH = 8
+GROWTH = 64
 ROW = "__row"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -39,9 +39,11 @@ def normalised(text: Column) -> Column:
 
 
 def _digit(start: int, end: int) -> list[Column]:
-    """The bytes [start, end) of ``rest`` and whether the text ends there."""
+    """The bytes [start, end) of a text, whether it ends there, and the bytes
+    after them; ``rest`` holds its bytes from start."""
     return [F.substring("rest", 1, end - start).alias("digit"),
-            (F.octet_length("rest") <= end - start).alias("ended")]
+            (F.octet_length("rest") <= end - start).alias("ended"),
+            F.expr(f"substring(rest, {end - start + 1})").alias("tail")]
 
 
 def numbered(docs: DataFrame, row_col: str) -> DataFrame:
@@ -57,13 +59,13 @@ def _rounds(rows: DataFrame, first_digit: int, growth: int) -> DataFrame:
     done = None
     start, end = 0, first_digit
     while True:
-        keyed = rows.select("id", "row", "sha", "grp", "rest", *_digit(start, end))
+        keyed = rows.select("id", "row", "sha", "grp", *_digit(start, end))
         groups = (keyed.groupBy("grp", "digit", "ended")
                   .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
                   .filter("n > 1"))
         # A row that is alone finds no group and is done.
-        joined = keyed.join(written(groups), ["grp", "digit", "ended"], "left")
-        rest = F.when(~F.col("ended") & F.col("n").isNotNull(), F.expr(f"substring(rest, {end - start + 1})"))
+        joined = keyed.join(written(groups).hint("merge"), ["grp", "digit", "ended"], "left")
+        rest = F.when(~F.col("ended") & F.col("n").isNotNull(), F.col("tail"))
         after = written(joined.select(
             "id", "row", "sha", "first", F.coalesce("n", F.lit(1)).alias("n"), rest.alias("rest")))
         closed = after.filter("rest is null").select("id", "row", "sha", "first", "n")
