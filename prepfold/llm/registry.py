@@ -1,9 +1,10 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, simhash_dedup
 
 QUERIES = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
