@@ -1,12 +1,13 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import exact_dedup, huffman_output, line_dedup, packing, simhash_dedup
+from . import decontamination, exact_dedup, huffman_output, line_dedup, packing, simhash_dedup
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_huffman_output": huffman_output.op4_huffman_output,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
+    "op6_benchmark_decontamination": decontamination.op6_benchmark_decontamination,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
