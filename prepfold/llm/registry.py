@@ -1,6 +1,6 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import decontamination, exact_dedup, huffman_output, line_dedup, packing, simhash_dedup
+from . import decontamination, exact_dedup, huffman_output, line_dedup, packing, simhash_dedup, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_huffman_output": huffman_output.op4_huffman_output,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_benchmark_decontamination": decontamination.op6_benchmark_decontamination,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
