@@ -1,6 +1,6 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import decontamination, exact_dedup, huffman_output, line_dedup, packing, simhash_dedup, toxicity
+from . import decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, simhash_dedup, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -9,6 +9,7 @@ QUERIES = {
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_benchmark_decontamination": decontamination.op6_benchmark_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
