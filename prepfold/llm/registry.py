@@ -1,9 +1,10 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, simhash_dedup, toxicity
+from . import decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, simhash_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_url_filters": url_filter.op2_url_filters,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_huffman_output": huffman_output.op4_huffman_output,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
