@@ -1,6 +1,7 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, simhash_dedup, toxicity, url_filter
+from . import (decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, quality_classifier,
+               simhash_dedup, toxicity, url_filter)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -9,6 +10,7 @@ QUERIES = {
     "op4_huffman_output": huffman_output.op4_huffman_output,
     "op5_simhash_dedup": simhash_dedup.op5_simhash_dedup,
     "op6_benchmark_decontamination": decontamination.op6_benchmark_decontamination,
+    "op7_quality_classifier": quality_classifier.op7_quality_classifier,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
