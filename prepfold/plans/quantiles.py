@@ -1,223 +1,129 @@
-"""Exact quantiles and global orderings without a single-task bottleneck.
+"""Exact quantiles and lags over an order, without a single-task bottleneck.
 
 Spark's exact ``percentile``/``median`` keeps a map of every distinct value of
 a group in one aggregation buffer, and a window without ``partitionBy``
 moves every row into one partition. Both break when one group (or the whole
-table) is large. The plans here do the same work as shuffles over
-pre-aggregated data:
-
-1. Pre-aggregate to distinct ``(group, value)`` pairs with their counts
-   (partial aggregation runs before the shuffle, so a hot value is one row).
-2. Cut each group's distinct values into ``sub_buckets`` ranges (4096 by
-   default: a group with 10^10 distinct values still gives ranges of a few
-   million rows per task). The
-   boundaries come from a hash-chosen sample of at most ~``SAMPLE_TARGET``
-   distinct values per group, sorted: a deterministic function of the data,
-   so every branch of the plan and every re-run of a lost task puts a value
-   in the same range (a merged ``percentile_approx`` sketch depends on the
-   order partial results arrive in). The boundaries only balance the work;
-   results stay exact.
-3. Running counts inside each (group, range) with a window, plus the counts
-   of the earlier ranges of the group (at most ``sub_buckets`` rows per
-   group), give every distinct value its exact rank interval.
+table) is large. Here the rows are dealt by Spark's own range partitioning on
+(group, value): a large group is cut into ranges, small groups share one, and
+no switch depends on sizes. The partition number is written with the rows, so
+all steps after it, and any task that runs again, see the same ranges. What
+is left per (group, range) is one row of counts, or the few rows at its
+edges. Group columns may be NULL, which is a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stats import attach, cut_lineage
+from .stats import cut_lineage
 
-DEFAULT_SUB_BUCKETS = 4096
-SAMPLE_TARGET = 65536
-_HASH_SPACE = 1 << 30
-_FANOUT = 64
+RANGE = "__range"
 
 
-def _search(value: Column, bound_at, lo: int, hi: int) -> Column:
-    """Number of boundaries ``bound_at(lo) .. bound_at(hi - 1)`` (sorted)
-    below ``value``: a balanced binary search written as nested CASE
-    expressions, so it stays inside generated code."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(bound_at(mid) < value, _search(value, bound_at, mid + 1, hi)) \
-        .otherwise(_search(value, bound_at, lo, mid))
+def _in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ranges of ``order`` and written once with the number of
+    each row's range; ranges rise with the order."""
+    return cut_lineage(df.repartitionByRange(*[F.col(c) for c in order])
+                       .withColumn(RANGE, F.spark_partition_id()))
 
 
-def with_range(df: DataFrame, value_col: str, bounds: str, n_bounds: int, out_col: str) -> DataFrame:
-    """Add ``out_col``: the index of the range ``value_col`` falls in, i.e. the
-    number of the ``n_bounds`` sorted boundaries below it (NULL boundaries
-    count as not below).
-
-    Up to 63 boundaries: one binary search (about 6 comparisons per row).
-    More (``n_bounds + 1`` a multiple of 64): a search over every 64th
-    boundary picks the coarse range, then a search over the 63 boundaries
-    inside it - the same count as a flat search, in about 12 comparisons,
-    with expressions small enough for code generation (a ``filter`` lambda
-    over the array would be interpreted element by element).
-    """
-    b, v = F.col(bounds), F.col(value_col)
-    if n_bounds < _FANOUT:
-        return df.withColumn(out_col, F.coalesce(_search(v, b.getItem, 0, n_bounds), F.lit(0)))
-    if (n_bounds + 1) % _FANOUT:
-        raise ValueError("n_bounds + 1 must be a multiple of 64")
-    coarse = (n_bounds + 1) // _FANOUT
-    staged = df.withColumn("__s1", _search(v, lambda i: b.getItem((i + 1) * _FANOUT - 1), 0, coarse - 1))
-    s1 = F.col("__s1")
-    fine = _search(v, lambda j: F.element_at(b, s1 * _FANOUT + F.lit(j + 1)), 0, _FANOUT - 1)
-    return staged.withColumn(out_col, F.coalesce(s1 * F.lit(_FANOUT) + fine, F.lit(0))).drop("__s1")
-
-
-def _join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join a per-group frame (one row per group) onto ``big``.
-
-    With no keys ``small`` is a single row and is attached as a scalar
-    subquery. With keys it has one row per group; Spark/AQE chooses a
-    broadcast only when its runtime size is under the threshold, otherwise a
-    shuffle join (skewed partitions split by AQE).
-    """
-    if not keys:
-        return attach(big, small)
-    return big.join(small, on=keys, how=how)
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], suffix: str) -> Column:
+    """Null-safe equality of ``keys`` with the suffixed columns of ``right``."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k + suffix]) for k in keys])
 
 
-def range_bounds(distinct_vals: DataFrame, value_col: str, g: list[str], sub_buckets: int,
-                 sample_target: int = SAMPLE_TARGET) -> DataFrame:
-    """``(*g, __bounds)``: ``sub_buckets - 1`` sorted boundaries per group.
-
-    ``distinct_vals`` holds each (group, value) once. A value is in the
-    sample when its hash falls under ``sample_target / distinct values of
-    the group``, so a group keeps about ``sample_target`` values (all of them
-    when it has fewer); the sample is collected per group - a bounded list -
-    and sorted, and the boundaries are evenly spaced elements of it.
-    """
-    v = F.col(value_col)
-    nd = distinct_vals.groupBy(*g).agg(F.count(F.lit(1)).alias("__nd"))
-    u = F.pmod(F.xxhash64(v), F.lit(_HASH_SPACE)).cast("double") / F.lit(float(_HASH_SPACE))
-    sample = _join_small(distinct_vals.select(*g, value_col), nd, g) \
-        .where(u < F.lit(float(sample_target)) / F.col("__nd"))
-    srt = sample.groupBy(*g).agg(F.sort_array(F.collect_list(v)).alias("__sorted"))
-    size = F.size("__sorted")
-    # One row per group: the picks are a single array expression. An empty
-    # sample gives NULL boundaries (try_element_at), i.e. one range.
-    picks = F.transform(
-        F.sequence(F.lit(1), F.lit(sub_buckets - 1)),
-        lambda i: F.try_element_at(
-            "__sorted", (F.floor(size * i / F.lit(float(sub_buckets))) + F.lit(1)).cast("int")))
-    return srt.select(*g, picks.alias("__bounds"))
-
-
-def _value_ranges(df: DataFrame, value_col: str, g: list[str], sub_buckets: int):
-    """Distinct ``(group, __v, cnt, __s)`` and per-range ``(group, __s, __rc,
-    __off, n)``: rows in the range, rows in earlier ranges of the group, and
-    the group size."""
-    v = F.col(value_col)
-    # Written once: the boundaries, the per-range counts and the ranking all
-    # read these rows (the input is scanned and shuffled a single time).
-    vc = cut_lineage(df.where(v.isNotNull())
-                     .groupBy(*g, v.alias("__v"))
-                     .agg(F.count(F.lit(1)).alias("cnt")))
-    bounds = range_bounds(vc, "__v", g, sub_buckets)
-    # A group whose sample came out empty has no boundaries: one range.
-    vb = (with_range(_join_small(vc, bounds, g, how="left"), "__v", "__bounds", sub_buckets - 1, "__s")
-          .drop("__bounds")
-          # One exchange on (group, range) feeds both the per-range counts and
-          # the ranking inside ranges (both need exactly this clustering), so
-          # the range of a value is computed once per map task.
-          .repartition(*g, "__s"))
-    # One row per (group, range): at most sub_buckets rows per group.
-    per_range = vb.groupBy(*g, "__s").agg(F.sum("cnt").alias("__rc"))
-    w_before = Window.partitionBy(*g).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*g)
-    per_range = (per_range
-                 .withColumn("__off", F.coalesce(F.sum("__rc").over(w_before), F.lit(0)))
-                 .withColumn("n", F.sum("__rc").over(w_all)))
-    return vb, per_range
-
-
-def _rank_within(vb: DataFrame, ranges: DataFrame, g: list[str], value_col: str) -> DataFrame:
-    """Exact ``before`` (rows of the group with a smaller value) for the
-    values of the given ranges: a running count inside each range plus the
-    range's offset."""
-    w_vals = (Window.partitionBy(*g, "__s").orderBy("__v")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    sel = vb.join(ranges.select(*g, "__s", "__off", "n"), on=g + ["__s"], how="inner")
-    within = sel.withColumn("__in", F.coalesce(F.sum("cnt").over(w_vals), F.lit(0)))
-    return within.select(*g, F.col("__v").alias(value_col), "cnt", "n",
-                         (F.col("__off") + F.col("__in")).alias("before"))
-
-
-def ranked_values(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                  sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
-    """Distinct ``(group, value)`` with ``cnt``, ``n`` (group size) and
-    ``before`` (rows of the group with a smaller value).
-
-    Value ``v`` occupies the 0-based ranks ``[before, before + cnt - 1]``.
-    NULL values are left out.
-    """
-    g = list(group_cols)
-    vb, per_range = _value_ranges(df, value_col, g, sub_buckets)
-    return _rank_within(vb, per_range, g, value_col)
+def _renamed(df: DataFrame, suffix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c + suffix) for c in df.columns])
 
 
 def exact_quantile(df: DataFrame, value_col: str, q: float = 0.5,
-                   group_cols: Sequence[str] = (), out_col: str = "quantile",
-                   sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
+                   group_cols: Sequence[str] = (), out_col: str = "quantile") -> DataFrame:
     """Exact interpolated quantile per group (``percentile`` semantics:
     position ``q * (n - 1)``, linear between the two neighbouring values).
 
-    Only the (at most two) ranges per group that hold the target ranks are
-    ranked value by value; the others are only counted. Returns
-    ``(*group_cols, out_col)``; groups with only NULL values are absent.
+    Values are reduced to distinct (group, value) counts before they are
+    dealt; only the ranges that hold a group's target ranks are ranked value
+    by value, the others are only counted. NULL values do not count; a group
+    of NULL values only has a NULL quantile, as with the built-in.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    g = list(group_cols)
-    vb, per_range = _value_ranges(df, value_col, g, sub_buckets)
-    pos = F.lit(q) * (F.col("n") - F.lit(1)).cast("double")
-    lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
+    g = [f"__g{i}" for i in range(len(group_cols))] or ["__g0"]
+    named = [F.col(c).alias(k) for c, k in zip(group_cols, g)] or [F.lit(0).alias("__g0")]
+    counted = (df.select(*named, F.col(value_col).alias("__v"))
+               .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
+               .withColumn("__c", F.when(F.col("__v").isNotNull(), F.col("__c")).otherwise(0)))
+    values = _in_ranges(counted, [*g, "__v"])
+    # One row per (group, range) it has values in.
+    by_group = Window.partitionBy(*g)
+    before = by_group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (values.groupBy(*g, RANGE).agg(F.sum("__c").alias("__rc"))
+              .withColumn("__off", F.coalesce(F.sum("__rc").over(before), F.lit(0)))
+              .withColumn("__n", F.sum("__rc").over(by_group)))
+    pos = F.lit(q) * (F.col("__n") - 1).cast("double")
+    low, high = F.floor(pos), F.ceil(pos)
 
     def covers(rank: Column, start: str, size: str) -> Column:
         return (F.col(start) <= rank) & (rank < F.col(start) + F.col(size))
 
-    targets = per_range.where(covers(lo_rank, "__off", "__rc") | covers(hi_rank, "__off", "__rc"))
-    r = _rank_within(vb, targets, g, value_col)
-    v = F.col(value_col).cast("double")
-    picked = (r.where(covers(lo_rank, "before", "cnt") | covers(hi_rank, "before", "cnt"))
-              .groupBy(*g)
-              .agg(F.max(F.when(covers(lo_rank, "before", "cnt"), v)).alias("__lo"),
-                   F.max(F.when(covers(hi_rank, "before", "cnt"), v)).alias("__hi"),
-                   F.first(pos).alias("__pos")))
-    lo_p, hi_p = F.floor("__pos"), F.ceil("__pos")
-    value = F.when(lo_p == hi_p, F.col("__lo")).otherwise(
-        (hi_p - F.col("__pos")) * F.col("__lo") + (F.col("__pos") - lo_p) * F.col("__hi"))
-    return picked.select(*g, value.alias(out_col))
-
-
-def previous_distinct(df: DataFrame, order_col: str, out_col: str,
-                      partition_cols: Sequence[str] = (),
-                      sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
-    """Distinct ``(partition, order value)`` with ``out_col`` = the largest
-    smaller order value of the same partition (NULL for the first).
-
-    On distinct keys this is ``lag(order_col, 1)`` over the order, computed
-    in ranges so no partition (not even a global order) lands in one task.
+    # The ranges with a target rank; a group without values keeps a row too.
+    targets = ranges.where(covers(low, "__off", "__rc") | covers(high, "__off", "__rc") | (F.col("__n") == 0))
+    t = _renamed(targets, "_t")
+    within = Window.partitionBy(*g, RANGE).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (values.join(t, _same(values, t, [*g, RANGE], "_t"))
+              .withColumn("__before", F.col("__off_t") + F.coalesce(F.sum("__c").over(within), F.lit(0)))
+              .withColumn("__n", F.col("__n_t")))
+    v = F.col("__v").cast("double")
+    picked = ranked.groupBy(*g).agg(
+        F.max(F.when(covers(low, "__before", "__c"), v)).alias("__low"),
+        F.max(F.when(covers(high, "__before", "__c"), v)).alias("__high"),
+        F.first(pos).alias("__pos"))
+    lo, hi = F.floor("__pos"), F.ceil("__pos")
+    value = F.when(lo == hi, F.col("__low")).otherwise(
+        (hi - F.col("__pos")) * F.col("__low") + (F.col("__pos") - lo) * F.col("__high"))
+    return picked.select(*[F.col(k).alias(c) for c, k in zip(group_cols, g)], value.alias(out_col))
+
+
+def lag_rows(df: DataFrame, value_col: str, order_col: str, out_col: str,
+             partition_cols: Sequence[str] = (), offset: int = 1) -> DataFrame:
+    """``df`` with ``out_col`` = the value of ``value_col`` ``offset`` rows
+    before, in the order of ``order_col`` within ``partition_cols``
+    (``Window.lag``; NULL order values come first, rows of equal order value
+    are taken in the order of ``value_col``).
+
+    Inside a range the lag is a window over that range; only its first
+    ``offset`` rows look further back, at the last ``offset`` rows of the
+    ranges before, which are joined by row number.
     """
+    if offset < 1:
+        raise ValueError("offset must be at least 1")
     p = list(partition_cols)
-    k = F.col(order_col)
-    keys = cut_lineage(df.where(k.isNotNull()).select(*p, k.alias("__k")).distinct())
-    bounds = range_bounds(keys, "__k", p, sub_buckets)
-    kb = (with_range(_join_small(keys, bounds, p, how="left"), "__k", "__bounds", sub_buckets - 1, "__s")
-          .drop("__bounds")
-          .repartition(*p, "__s"))
-    range_max = kb.groupBy(*p, "__s").agg(F.max("__k").alias("__m"))
-    range_max = range_max.withColumn(
-        "__prev_m", F.lag("__m", 1).over(Window.partitionBy(*p).orderBy("__s")))
-    within = kb.withColumn("__lag", F.lag("__k", 1).over(Window.partitionBy(*p, "__s").orderBy("__k")))
-    out = within.join(range_max.select(*p, "__s", "__prev_m"), on=p + ["__s"], how="inner")
-    return out.select(*p, F.col("__k").alias(order_col),
-                      F.coalesce("__lag", "__prev_m").alias(out_col))
+    order = list(dict.fromkeys([order_col, value_col]))
+    rows = _in_ranges(df, [*p, *order])
+    chunk = Window.partitionBy(*p, RANGE)
+    forward = chunk.orderBy(*order)
+    numbered = (rows.withColumn("__i", F.row_number().over(forward))
+                .withColumn("__left", F.count(F.lit(1)).over(chunk) - F.col("__i"))
+                .withColumn(out_col, F.lag(value_col, offset).over(forward)))
+    inner = numbered.where(F.col("__i") > offset).select(*df.columns, out_col)
+    # One row per (partition, range): rows of the partition in earlier ranges.
+    by_partition = Window.partitionBy(*p) if p else Window.partitionBy(F.lit(0))
+    before = by_partition.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _renamed(rows.groupBy(*p, RANGE).agg(F.count(F.lit(1)).alias("__rc"))
+                       .withColumn("__off", F.coalesce(F.sum("__rc").over(before), F.lit(0))), "_o")
+    edges = numbered.where((F.col("__i") <= offset) | (F.col("__left") < offset))
+    # A few rows a range, written once for both sides of the join.
+    edges = cut_lineage(edges.join(offsets, _same(edges, offsets, [*p, RANGE], "_o"))
+                        .withColumn("__i", F.col("__i"))
+                        .withColumn("__at", F.col("__off_o") + F.col("__i")))
+    heads = edges.where(F.col("__i") <= offset)
+    tails = _renamed(edges.where(F.col("__left") < offset).select(
+        *p, (F.col("__at") + offset).alias("__at"), F.col(value_col).alias("__lagged")), "_t")
+    # heads' own window value is NULL: nothing of their range lies before.
+    outer = heads.join(tails, _same(heads, tails, [*p, "__at"], "_t"), "left") \
+        .select(*df.columns, F.col("__lagged_t").alias(out_col))
+    return inner.unionByName(outer)

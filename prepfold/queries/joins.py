@@ -145,6 +145,21 @@ def lag_feature(spark, sf_dir):
     return out.select(*[F.col(c).cast("string").alias(c) for c in ("report_date", "previous_date")])
 
 
+@register("lag_other_column", sql="""
+    SELECT o_orderpriority, CAST(d AS VARCHAR) AS report_date, price,
+           lag(price, 2) OVER (PARTITION BY o_orderpriority ORDER BY d) AS price_2_before
+    FROM (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS price
+          FROM orders GROUP BY 1, 2)
+""")
+def lag_other_column(spark, sf_dir):
+    """H1 of a column that is not the order: the highest price of each order
+    date, and that of two order dates before, within each priority."""
+    daily = (Tables(spark, sf_dir).orders.groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias("d"))
+             .agg(F.max("o_totalprice").alias("price")))
+    out = windows.lag_feature(daily, "d", "price_2_before", ["o_orderpriority"], "price", 2)
+    return out.select("o_orderpriority", F.col("d").cast("string").alias("report_date"), "price", "price_2_before")
+
+
 @register("report_gap_audit", sql="""
     SELECT days_between_report, count(*) AS n_reports FROM (
         SELECT CAST(date_diff('day', lag(report_date, 1) OVER (ORDER BY report_date), report_date) AS INTEGER)

@@ -46,7 +46,7 @@ def test_exact_quantile_matches_numpy_with_hot_group(spark, seed):
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     for q in (0.0, 0.25, 0.5, 0.9, 1.0):
         got = {r.g: r.quantile for r in
-               quantiles.exact_quantile(df, "v", q, ["g"], sub_buckets=8).collect()}
+               quantiles.exact_quantile(df, "v", q, ["g"]).collect()}
         for g in set(r[0] for r in rows):
             a = np.array([v for k, v in rows if k == g and v is not None])
             assert got[g] == pytest.approx(np.quantile(a, q), rel=1e-12, abs=1e-12)
@@ -55,7 +55,7 @@ def test_exact_quantile_matches_numpy_with_hot_group(spark, seed):
 def test_exact_quantile_global(spark):
     df = spark.createDataFrame([(float(x),) for x in [5, 1, 3, 3, 8, 2]], "v double")
     assert quantiles.exact_quantile(df, "v", 0.5).first().quantile == 3.0
-    assert quantiles.exact_quantile(df, "v", 0.75, sub_buckets=3).first().quantile == pytest.approx(4.5)
+    assert quantiles.exact_quantile(df, "v", 0.75).first().quantile == pytest.approx(4.5)
 
 
 def test_drop_sparse_columns(spark):
@@ -94,15 +94,20 @@ def test_null_out_above(spark):
     assert sorted(r.x for r in clean.null_out_above(df, "x", 100).collect() if r.x is not None) == [1.0]
 
 
-@pytest.mark.parametrize("n_bounds", [7, 127, 4095])
-def test_two_level_range_search_equals_bisect(spark, n_bounds):
-    import bisect
-    rnd = random.Random(n_bounds)
-    bounds = sorted(float(rnd.randint(0, 3000)) for _ in range(n_bounds))  # with duplicates
-    values = [float(rnd.randint(-10, 3010)) for _ in range(2000)] + bounds[:50]
-    df = spark.createDataFrame([(v, bounds) for v in values], "v double, b array<double>")
-    got = [r.s for r in quantiles.with_range(df, "v", "b", n_bounds, "s").collect()]
-    assert got == [bisect.bisect_left(bounds, v) for v in values]
+def test_all_null_column_keeps_its_row(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    assert {r.column_name: r.median for r in clean.column_medians(df, ["a", "b"]).collect()} == {"a": 2.0, "b": None}
+
+
+@pytest.mark.parametrize("groups,rows", [(1, 20000), (4000, 5), (3, 900)])
+def test_exact_quantile_equals_the_built_in(spark, groups, rows):
+    rnd = random.Random(groups)
+    data = [(None if g == 1 else f"g{g}", None if rnd.random() < 0.1 else float(rnd.randint(0, 300)))
+            for g in range(groups) for _ in range(rows)]
+    data += [("nulls", None), ("one", -1.5), (None, 5.0), (None, 7.0)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    got = {r.g: r.quantile for r in quantiles.exact_quantile(df, "v", 0.5, ["g"]).collect()}
+    assert got == {r.g: r.m for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
 
 
 def test_exact_quantile_default_ranges_many_values(spark):

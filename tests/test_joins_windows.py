@@ -1,10 +1,12 @@
 import datetime as dt
 import random
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from prepfold.operators import joins, windows
-from prepfold.plans.quantiles import previous_distinct
+from prepfold.plans.quantiles import lag_rows
 
 
 def test_precision_join_rounds_both_sides(spark):
@@ -56,18 +58,31 @@ def test_prior_period_join(spark):
     assert out == {"A": 100.0, "B": None}
 
 
-def test_previous_distinct_matches_brute_force(spark):
-    rnd = random.Random(3)
-    base = dt.date(2000, 1, 1)
-    rows = [(rnd.choice("xyz"), base + dt.timedelta(days=rnd.randint(0, 400))) for _ in range(800)]
-    df = spark.createDataFrame(rows, "p string, d date").repartition(4)
-    got = {(r.p, r.d): r.prev for r in previous_distinct(df, "d", "prev", ["p"], sub_buckets=5).collect()}
-    expect = {}
-    for p in "xyz":
-        ds = sorted({d for q, d in rows if q == p})
-        for i, d in enumerate(ds):
-            expect[(p, d)] = ds[i - 1] if i else None
-    assert got == expect
+@pytest.mark.parametrize("offset", [1, 2, 7])
+@pytest.mark.parametrize("parts", [["p"], []])
+def test_lag_equals_window_lag(spark, offset, parts):
+    rnd = random.Random(offset)
+    rows = [(None if g == 0 else f"g{g}", None if rnd.random() < 0.05 else rnd.randint(0, 150), rnd.choice([None, *range(9)]))
+            for g in range(40) for _ in range(rnd.choice([1, 3, 60]))]
+    rows += [("hot", rnd.randint(0, 5000), rnd.randint(0, 9)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "p string, d int, v int").repartition(5)
+    w = (Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(1))).orderBy("d", "v")
+    wanted = df.withColumn("out", F.lag("v", offset).over(w))
+    got = lag_rows(df, "v", "d", "out", parts, offset)
+    assert got.columns == ["p", "d", "v", "out"]
+    key = lambda r: tuple((x is not None, x) for x in r)
+    if parts:
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, wanted.collect()), key=key)
+    else:  # p is no part of the order, so rows that tie may swap it
+        assert sorted((tuple(r)[1:] for r in got.collect()), key=key) == sorted((tuple(r)[1:] for r in wanted.collect()), key=key)
+
+
+def test_gap_audit_keeps_null_partitions(spark):
+    day = dt.date(2021, 1, 1)
+    rows = [(p, day + dt.timedelta(days=7 * k)) for p in ("a", None) for k in range(4)] + [("b", None)]
+    got = windows.report_gap_audit(spark.createDataFrame(rows, "p string, d date"), "d", ["p"]).collect()
+    assert {(r.p, r.days_between_report, r.n_reports) for r in got} == {
+        ("a", None, 1), ("a", 7, 3), (None, None, 1), (None, 7, 3)}
 
 
 def test_lag_feature_and_weekly_gaps(spark):
@@ -79,16 +94,11 @@ def test_lag_feature_and_weekly_gaps(spark):
     assert gaps == {None: 1, 7: 29}
 
 
-def test_lag_plan_has_no_single_partition_for_rows(spark):
+def test_lag_plan_deals_rows_by_range(spark):
     df = spark.range(1000).select(F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("d"))
     plan = windows.lag_feature(df, "d", "prev")._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
-    assert single
-    # Every single-partition exchange takes the output of an aggregate: a
-    # merged sketch or one row per range, never the rows themselves.
-    for i in single:
-        assert "Aggregate" in lines[i + 1], lines[i + 1]
+    assert "Exchange SinglePartition" not in plan  # the windows over rows are cut by range
+    assert "hashpartitioning(__range" in plan
 
 
 def test_lag_with_hot_date_keeps_every_row(spark):
@@ -97,6 +107,6 @@ def test_lag_with_hot_date_keeps_every_row(spark):
     df = spark.createDataFrame(rows, "d date").repartition(6)
     out = windows.lag_feature(df, "d", "prev")
     assert out.count() == len(rows)
-    hot = out.where(F.col("d") == base).select("prev").distinct().collect()
-    assert [r.prev for r in hot] == [None]
+    hot = [r.prev for r in out.where(F.col("d") == base).collect()]
+    assert hot.count(None) == 1 and hot.count(base) == 599
     assert out.where(F.col("d") == base + dt.timedelta(days=2)).first().prev == base + dt.timedelta(days=1)
