@@ -10,7 +10,7 @@ rise with doc_id; the code lengths are a table beside them:
     blocks: segment, block, start (ids of the segment before the block),
       doc_ids, n_tokens (a list each), bits (binary: the documents' codes,
       each document from a whole byte on), checkpoints (binary, unsigned 32
-      bits: the bit offset of every 128th id of each document, in order)
+      bits: the bit offset of every 64th id of each document, in order)
 
 A block holds whole documents and can be decoded with the codebook alone.
 Decoding is table-driven: the next ``MAX_LENGTH`` bits index a table of id and
@@ -38,11 +38,11 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 from .shared import shuffle_partitions, table, written
-from .tokens import Encoder, vocabulary_path
+from .tokens import encoder, vocabulary_path
 
 END_ID = 2
 MAX_LENGTH = 16
-STRIDE = 128
+STRIDE = 64
 #: Ids in a block, as far as whole documents allow.
 BLOCK = 1 << 18
 
@@ -158,21 +158,20 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, end_id: int, path: s
     task has seen. Ids take two bytes where the vocabulary allows."""
 
     def run(batches):
-        encoder = Encoder(path)
-        size = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+        own_encoder = encoder(path)
+        size = max(own_encoder.tokenizer.get_vocab_size(), end_id + 1)
         kind = "<u2" if size <= 1 << 16 else "<u4"
         counts = np.zeros(size, "<i8")
         for batch in batches:
-            ids, at = encoder.encode(batch.column(1))
-            counts += np.bincount(ids, minlength=size)
-            counts[end_id] += batch.num_rows
-            data = np.insert(ids.astype(kind), at[1:], end_id)
-            ends = (at[1:] + np.arange(1, len(at))) * data.itemsize
-            blob = data.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at) + 1, pa.int64()),
-                 pa.array([blob[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())], pa.binary())],
-                names=["doc", "n", "ids"])
+            for first, ids, at in own_encoder.slices(batch.column(1)):
+                counts += np.bincount(ids, minlength=size)
+                counts[end_id] += len(at) - 1
+                data = np.insert(ids.astype(kind), at[1:], end_id)
+                ends = ((at[1:] + np.arange(1, len(at))) * data.itemsize).tolist()
+                blob = data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(at) - 1), pa.array(np.diff(at) + 1, pa.int64()),
+                     pa.array([blob[a:b] for a, b in zip([0, *ends], ends)], pa.binary())], names=["doc", "n", "ids"])
         yield pa.RecordBatch.from_arrays(
             [pa.array([None], pa.int64()), pa.array([-1], pa.int64()), pa.array([counts.tobytes()], pa.binary())],
             names=["doc", "n", "ids"])
@@ -225,18 +224,25 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", e
 
     def encode(batches):
         for batch in batches:
-            size = batch.column(1).to_numpy()
-            at = np.concatenate([[0], np.cumsum(size)])
-            ids = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).astype(np.int64)
-            bits, byte_at, marks, mark_at = encode_ids(ids, at, lengths, codes)
-            doc = batch.column(0)
-            segment = np.searchsorted(bounds, doc.fill_null(-(1 << 62)).to_numpy(), "right")
-            byte_at, mark_at = byte_at.tolist(), mark_at.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(segment, pa.int32()), doc, batch.column(1),
-                 pa.array([bits[a:b] for a, b in zip(byte_at, byte_at[1:])], pa.binary()),
-                 pa.array([marks[a:b].astype("<u4").tobytes() for a, b in zip(mark_at, mark_at[1:])], pa.binary())],
-                names=["segment", "doc", "n", "bits", "marks"])
+            upto = np.cumsum(batch.column(1).to_numpy())
+            lo = 0
+            while lo < batch.num_rows:  # about BLOCK ids at a time
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + BLOCK, "right")))
+                yield coded_rows(batch.slice(lo, hi - lo))
+                lo = hi
+
+    def coded_rows(batch):
+        at = np.concatenate([[0], np.cumsum(batch.column(1).to_numpy())])
+        ids = np.frombuffer(b"".join(batch.column(2).to_pylist()), kind).astype(np.int64)
+        bits, byte_at, marks, mark_at = encode_ids(ids, at, lengths, codes)
+        doc = batch.column(0)
+        segment = np.searchsorted(bounds, doc.fill_null(-(1 << 62)).to_numpy(), "right")
+        byte_at, mark_at = byte_at.tolist(), mark_at.tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(segment, pa.int32()), doc, batch.column(1),
+             pa.array([bits[a:b] for a, b in zip(byte_at, byte_at[1:])], pa.binary()),
+             pa.array([marks[a:b].astype("<u4").tobytes() for a, b in zip(mark_at, mark_at[1:])], pa.binary())],
+            names=["segment", "doc", "n", "bits", "marks"])
 
     coded = rows.mapInArrow(encode, "segment int, doc long, n long, bits binary, marks binary")
     sorted_rows = coded.repartition(n, "segment").sortWithinPartitions("segment", "doc", "n")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import table, written
-from .tokens import Encoder, vocabulary_path
+from .tokens import encoder, vocabulary_path
 
 CAPACITY = 2048
 END_ID = 0
@@ -53,21 +53,19 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        encoder = Encoder(path)
+        own_encoder = encoder(path)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][:5 + with_ids]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
         for batch in batches:
-            ids, at = encoder.encode(batch.column(1))
-            data = memoryview(ids.astype("<u4", copy=False)).cast("B")
-            out = []
-            for d, doc in enumerate(batch.column(0).to_pylist()):
-                own = bytes(data[4 * at[d]:4 * at[d + 1]]) + end
-                for k, (a, b) in enumerate(piece_bounds(len(own) // 4, capacity)):
-                    part = own[4 * a:4 * b]
-                    out.append((doc, k, a, b - a, zlib.crc32(part), *([part] if with_ids else [])))
-            columns = list(zip(*out)) or [()] * (5 + with_ids)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=names[:5 + with_ids])
+            for first, ids, at in own_encoder.slices(batch.column(1)):
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
+                out = []
+                for d, doc in enumerate(batch.column(0).slice(first, len(at) - 1).to_pylist()):
+                    own = bytes(data[4 * at[d]:4 * at[d + 1]]) + end
+                    for k, (a, b) in enumerate(piece_bounds(len(own) // 4, capacity)):
+                        part = own[4 * a:4 * b]
+                        out.append((doc, k, a, b - a, zlib.crc32(part), *([part] if with_ids else [])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -19,12 +19,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids a task keeps from batch to batch; beyond it, it starts anew.
-REMEMBERED = 300_000
-#: Latin letters, then ASCII marks up to the piece's end: two pre-tokens.
-WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
-#: Pieces put together at a time.
-SLICE = 1 << 20
+#: Pieces whose ids a worker keeps, the first it meets.
+REMEMBERED = 500_000
+#: Latin letters (A-Z, and U+00C0 to U+024F but for two signs, in UTF-8), then
+#: ASCII marks up to the piece's end: two pre-tokens.
+WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)"
+                  rb"([!-/:-@\[-`{-~]*)")
+#: Text encoded at a time, and pieces put together at a time.
+SLICE_BYTES = 8 << 20
+SLICE = 1 << 17
 
 
 def vocabulary_path() -> str:
@@ -45,46 +48,61 @@ class Encoder:
         self.cuts = _cuts_at_spaces(self.tokenizer, pre_tokenizers)
         name_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         # Bytes of a letter's UTF-8 form or of a space, as byte-level vocabularies write them.
-        letters = {b for c in range(0xC0, 0x250) for b in chr(c).encode()}
-        pairs = {b: n for c in range(0xC0, 0x250) for b, n in zip(chr(c).encode(), name_of(chr(c))[0][0])}
-        self.names = {b: pairs[b] for b in letters} | {0x20: "Ġ"}
-        self.words: dict[str, bytes] = {}
+        self.names = {b: n for c in range(0xC0, 0x250) for b, n in zip(chr(c).encode(), name_of(chr(c))[0][0])}
+        self.names[0x20] = "Ġ"
+        # Ids of pieces (in UTF-8) after a space, and of pieces after none.
+        self.known: dict[bytes, dict[bytes, bytes]] = {b" ": {}, b"": {}}
 
     def whole(self, text: str) -> bytes:
         """The library's ids of a text."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of letters, or a space and letters: one pre-token."""
-        ids = self.words.get(word)
+    def piece(self, piece: bytes, before: bytes) -> bytes | None:
+        """Ids of a piece after ``before`` (a space or nothing); None where
+        they depend on what stands beside it."""
+        known = self.known[before]
+        ids = known.get(piece)
         if ids is None:
-            name = word.replace(" ", "Ġ") if word.isascii() else word.encode().decode("latin-1").translate(self.names)
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            ids = self.words[word] = array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
+            ids = self._made(piece, before)
+            if ids is not None and len(known) < REMEMBERED:
+                known[piece] = ids
         return ids
 
-    def piece(self, piece: str, before: str) -> bytes | None:
-        """Ids of a piece after ``before`` (a space or nothing); None where
-        they depend on what stands beside it."""
+    def _made(self, piece: bytes, before: bytes) -> bytes | None:
         own = WORD.fullmatch(piece)
-        if own:
-            ids = self._word(before + own[1])
-            return ids + self.piece_of_marks(own[2]) if own[2] else ids
-        if not piece or piece[0].isspace() or piece[-1].isspace():
+        if own and own[2]:
+            return self.piece(own[1], before) + self._other(own[2])
+        if own:  # letters, with the space one pre-token
+            name = (before + piece).decode("latin-1").translate(self.names)
+            return array("I", [t.id for t in self.model.tokenize(name)]).tobytes()
+        text = piece.decode()
+        if not text or text[0].isspace() or text[-1].isspace():
             return None
-        lines = piece.split("\n")
+        lines = text.split("\n")
         if len(lines) == 1 or any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-            return self.whole(before + piece)
-        end = self.piece_of_marks("\n")
-        return self.piece(lines[0], before) + b"".join(end + self.piece(x, "") for x in lines[1:])
+            return self.whole(before.decode() + text)
+        end = self._other(b"\n")
+        return self.piece(lines[0].encode(), before) + b"".join(end + self.piece(x.encode(), b"") for x in lines[1:])
 
-    def piece_of_marks(self, marks: str) -> bytes:
-        ids = self.words.get(marks)
+    def _other(self, marks: bytes) -> bytes:
+        known = self.known[b""]
+        ids = known.get(marks)
         if ids is None:
-            ids = self.words[marks] = self.whole(marks)
+            ids = known[marks] = self.whole(marks.decode())
         return ids
 
+    def slices(self, column: pa.Array):
+        """Runs of about SLICE_BYTES of an Arrow string column (null: empty):
+        (first row, ids, where each text's ids start, one more than texts)."""
+        column = pc.fill_null(column, "")
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < len(column):
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            yield lo, *self.encode(column.slice(lo, hi - lo))
+            lo = hi
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of an Arrow string column (null: empty), one after
         the other, and where each text's ids start (one more than texts)."""
@@ -92,16 +110,22 @@ class Encoder:
         if not self.cuts:
             return _joined([self.whole(t) for t in column.to_pylist()])
         words = pc.split_pattern(column, " ")
-        flat = words.values.dictionary_encode()
         offsets = words.offsets.to_numpy().astype(np.int64)
-        codes, pieces = flat.indices.to_numpy(), flat.dictionary.to_pylist()
-        ids = [self.piece(x, " ") for x in pieces]
-        unsafe = np.fromiter((x is None for x in ids), bool, len(ids))
-        sizes = np.fromiter((len(x) // 4 if x else 0 for x in ids), np.int64, len(ids))
-        values = np.frombuffer(b"".join(x for x in ids if x), np.uint32)
+        flat = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets = offsets - offsets[0]
+        codes, pieces = flat.indices.to_numpy(), _bytes_of(flat.dictionary)
+        ids = list(map(self.known[b" "].get, pieces))
+        unsafe = np.zeros(len(ids), bool)
+        for k, x in enumerate(ids):
+            if x is None:
+                x = self.piece(pieces[k], b" ")
+                unsafe[k] = x is None
+                ids[k] = x or b""
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        values = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
         # The first piece of a text has no space before it.
-        heads = [self.piece(pieces[c], "") for c in codes[offsets[:-1]].tolist()]
+        heads = [self.piece(pieces[c], b"") for c in codes[offsets[:-1]].tolist()]
         unsafe_at = np.concatenate([[0], np.cumsum(unsafe[codes])])
         body = unsafe_at[offsets[1:]] - unsafe_at[np.minimum(offsets[:-1] + 1, offsets[1:])]
         out, counts, lo, n = [], [], 0, len(column)
@@ -126,6 +150,26 @@ class Encoder:
         return _concatenated(out), np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
 
 
+def encoder(path: str) -> Encoder:
+    """The process's encoder for a vocabulary: a Python worker that runs
+    several tasks loads it once and keeps the pieces it has met."""
+    import tokenizers
+    kept = vars(tokenizers).setdefault("_encoders", {})  # outlives the task's own copy of this module
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
+def _bytes_of(column: pa.Array) -> list[bytes]:
+    """A string array's values in UTF-8, cut from its own buffers."""
+    if not len(column):
+        return []
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset:column.offset + len(column) + 1].tolist()
+    data = column.buffers()[2].to_pybytes() if column.buffers()[2] else b""
+    return [data[a:b] for a, b in zip(offsets, offsets[1:])]
+
+
 def _concatenated(parts: list) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.uint32)
 
