@@ -12,7 +12,6 @@ everything else is compared as is.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -58,7 +57,4 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        path = os.path.join(self.base_dir, f"{name}.parquet")
-        if not os.path.exists(path) and "://" not in self.base_dir:
-            raise AttributeError(name)
         return load_table(self.spark, self.base_dir, name)

@@ -54,16 +54,6 @@ def day_of_week_column(df: DataFrame, c: str, out_col: str) -> DataFrame:
     return df.withColumn(out_col, day_of_week(c))
 
 
-def year_column(df: DataFrame, c: str, out_col: str, shift: int = 0) -> DataFrame:
-    """Calendar year, optionally shifted (``-1`` = prior reporting year)."""
-    return df.withColumn(out_col, F.year(c) + F.lit(shift))
-
-
-def days_between(df: DataFrame, end: str, start: str, out_col: str) -> DataFrame:
-    """Whole days from ``start`` to ``end``."""
-    return df.withColumn(out_col, F.datediff(F.col(end), F.col(start)))
-
-
 # -- text and arrays (I) ------------------------------------------------------
 
 def text_flag(df: DataFrame, c: str, one_pattern: str, zero_pattern: str, out_col: str) -> DataFrame:
@@ -92,15 +82,19 @@ def token_vocabulary(df: DataFrame, token_col: str) -> DataFrame:
             .groupBy(token_col).agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def discover_values(df: DataFrame, c: str, max_values: int = 10000) -> list:
-    """Distinct non-NULL values of ``c``, sorted, for building fixed-width
-    encodings. Refuses more than ``max_values`` (the bound the driver holds,
-    same as ``spark.sql.pivotMaxValues``)."""
-    vals = (df.where(F.col(c).isNotNull()).select(c).distinct()
-            .orderBy(c).limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {c}")
-    return [r[0] for r in vals]
+def discover_values(df: DataFrame, c: str) -> list:
+    """Distinct non-NULL values of ``c``, sorted: the columns of a wide
+    encoding. They are as many as the result has columns, so this is for
+    vocabularies; ``multi_hot_long`` takes any number of values."""
+    return sorted(r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().collect())
+
+
+def multi_hot_long(df: DataFrame, id_col: str, list_col: str, token_col: str = "token",
+                   flag_col: str = "present") -> DataFrame:
+    """I5 in sparse form: one row per (id, distinct token) with a 1, whatever
+    the size of the vocabulary; what is absent is 0."""
+    tokens = df.select(id_col, F.explode(F.array_distinct(F.col(list_col))).alias(token_col))
+    return tokens.where(F.col(token_col).isNotNull()).withColumn(flag_col, F.lit(1))
 
 
 def pivot_tokens(exploded: DataFrame, id_col: str, token_col: str,

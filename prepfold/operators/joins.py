@@ -11,18 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import half_up
-from ..plans.stats import attach
+from ..plans.stats import attach, cut_lineage
 from ..sources.parquet import register_view
 
 
 def align_keys(df: DataFrame, round_keys: Sequence[str], digits: int) -> DataFrame:
-    """Cast ``round_keys`` to double (bad text -> NULL) and round them
-    half-up to ``digits`` places."""
-    return df.withColumns({k: half_up(F.col(k).try_cast("double"), digits) for k in round_keys})
+    """Cast ``round_keys`` to double (bad text -> NULL) and round them to
+    ``digits`` places (``round``: half away from zero in decimal)."""
+    return df.withColumns({k: F.round(F.col(k).try_cast("double"), digits) for k in round_keys})
 
 
 def precision_join(df: DataFrame, lookup: DataFrame, round_keys: Sequence[str],
@@ -32,12 +31,13 @@ def precision_join(df: DataFrame, lookup: DataFrame, round_keys: Sequence[str],
 
     The reference rounds only the left side; here both sides are cast and
     rounded, so the join holds whatever precision the lookup was stored in.
-    ``exact_keys`` are cast to the left side's types.
+    ``exact_keys`` are cast to the left side's types; a lookup value that is
+    none of that type is NULL and matches nothing.
     """
     left = align_keys(df, round_keys, digits)
     right = align_keys(lookup, round_keys, digits)
     types = dict(df.dtypes)
-    right = right.withColumns({k: F.col(k).cast(types[k]) for k in exact_keys})
+    right = right.withColumns({k: F.col(k).try_cast(types[k]) for k in exact_keys})
     return left.join(right, on=list(exact_keys) + list(round_keys), how=how)
 
 
@@ -67,18 +67,9 @@ def _key_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def left_join_counts(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row ``(n_left, n_rows, n_unmatched, n_dup_right_keys)`` describing
-    ``df LEFT JOIN lookup USING (keys)`` without running the join itself.
-
-    Both sides are reduced to rows per key; the result size of the left join
-    is ``sum(left_rows * coalesce(right_rows, 1))`` and a left key without a
-    right row is unmatched (NULL keys never match). No pair of rows is ever
-    emitted, so a hot key on both sides costs two counts, not their product.
-    """
-    keys = list(keys)
-    lc = _key_counts(df, keys, "__lc")
-    rc = _key_counts(lookup, keys, "__rc")
+def _join_size(lc: DataFrame, rc: DataFrame, keys: list[str]) -> DataFrame:
+    """One row ``(n_left, n_rows, n_unmatched, n_dup_right_keys)`` from rows
+    per key of both sides (``__lc``, ``__rc``)."""
     # NULL keys are grouped but never equal in the join: they stay unmatched.
     j = lc.join(rc, on=keys, how="left")
     left = j.agg(F.sum("__lc").alias("n_left"),
@@ -92,30 +83,54 @@ def left_join_counts(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> D
         F.col("n_dup_right_keys").cast("long").alias("n_dup_right_keys"))
 
 
-def join_audit(variants: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
-    """``(variant, n_left, n_rows, n_unmatched, n_dup_right_keys)``
-    for several ways of left-joining, e.g. keys at the wrong precision
-    (F3: many unmatched) or too few keys (F4: ``n_rows > n_left`` because
-    lookup keys repeat). Each variant is ``(left, lookup, keys)``; all run in
-    one action and none materialises its join."""
-    parts = [left_join_counts(left, lookup, keys).select(F.lit(name).alias("variant"), "*")
-             for name, (left, lookup, keys) in variants.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def left_join_counts(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``(n_left, n_rows, n_unmatched, n_dup_right_keys)`` describing
+    ``df LEFT JOIN lookup USING (keys)`` without running the join itself.
+
+    Both sides are reduced to rows per key; the result size of the left join
+    is ``sum(left_rows * coalesce(right_rows, 1))`` and a left key without a
+    right row is unmatched (NULL keys never match). No pair of rows is ever
+    emitted, so a hot key on both sides costs two counts, not their product.
+    """
+    keys = list(keys)
+    return _join_size(_key_counts(df, keys, "__lc"), _key_counts(lookup, keys, "__rc"), keys)
+
+
+def join_audit(df: DataFrame, lookup: DataFrame, variants: Mapping[str, Mapping[str, Column] | Sequence[str]]) -> DataFrame:
+    """``(variant, n_left, n_rows, n_unmatched, n_dup_right_keys)`` for
+    several ways of left-joining the same two frames.
+
+    A variant names its keys, e.g. too few of them (F4: ``n_rows > n_left``
+    because lookup keys repeat), or maps each key to what the left side puts
+    in its place, an expression over the left key columns, e.g. its rounded
+    value (F3: keys at the wrong precision leave many rows unmatched). Each
+    frame is read once: rows are counted per full key, written, and every
+    variant sums these counts up; none materialises its join.
+    """
+    named = {name: dict(v) if isinstance(v, Mapping) else {k: F.col(k) for k in v} for name, v in variants.items()}
+    every = list(dict.fromkeys(k for keys in named.values() for k in keys))
+    left = cut_lineage(_key_counts(df, every, "__n"))
+    right = cut_lineage(_key_counts(lookup, every, "__n"))
+    out = None
+    for name, keys in named.items():
+        lc = (left.select(*[c.alias(k) for k, c in keys.items()], "__n")
+              .groupBy(*keys).agg(F.sum("__n").alias("__lc")))
+        rc = right.groupBy(*keys).agg(F.sum("__n").alias("__rc"))
+        part = _join_size(lc, rc, list(keys)).select(F.lit(name).alias("variant"), "*")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
-def unmatched_audit(variants: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
+def unmatched_audit(df: DataFrame, lookup: DataFrame,
+                    variants: Mapping[str, Mapping[str, Column] | Sequence[str]]) -> DataFrame:
     """``(variant, n_rows, n_unmatched)``."""
-    return join_audit(variants).select("variant", "n_rows", "n_unmatched")
+    return join_audit(df, lookup, variants).select("variant", "n_rows", "n_unmatched")
 
 
 def fanout_audit(df: DataFrame, lookup: DataFrame, variants: Mapping[str, Sequence[str]]) -> DataFrame:
     """``(variant, n_left, n_rows, n_dup_right_keys)`` for the same
     frames joined on different key sets."""
-    return join_audit({name: (df, lookup, keys) for name, keys in variants.items()}) \
-        .select("variant", "n_left", "n_rows", "n_dup_right_keys")
+    return join_audit(df, lookup, variants).select("variant", "n_left", "n_rows", "n_dup_right_keys")
 
 
 def prior_period_join(df: DataFrame, lookup: DataFrame, key: str, date_col: str,

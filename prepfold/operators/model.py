@@ -12,44 +12,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor,
                                    RandomForestRegressionModel, RandomForestRegressor)
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import default_parallelism, ensure_checkpoint_dir, shared_path
+from ..session import ensure_checkpoint_dir, shared_path
 
 
 def _prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
-def stage_for_training(df: DataFrame) -> DataFrame:
-    """Spread ``df`` round-robin over all task slots and persist it.
-
-    Tree learners pass over their input several times (metadata, split
-    sampling, binning). A small join result may have been coalesced to one
-    partition, which would train on one core; Spark sorts before a
-    round-robin repartition, so a retried task gets the same rows. Persisted
-    blocks lost with an executor are recomputed from lineage. Unpersist the
-    result when the models are trained.
-    """
-    return df.repartition(default_parallelism(df.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _fit_balanced(estimator, df: DataFrame, staged: bool):
-    """Fit on ``df`` staged for training (unless the caller already did)."""
-    if staged:
-        return estimator.fit(df)
-    frame = stage_for_training(df)
-    try:
-        return estimator.fit(frame)
-    finally:
-        frame.unpersist()
-
-
 def train_gbt(train_df: DataFrame, features_col: str, label_col: str,
-              prediction_col: str = "Prediction_Price", seed: int = 42, staged: bool = False,
+              prediction_col: str = "Prediction_Price", seed: int = 42,
               **params) -> GBTRegressionModel:
     """L1: gradient-boosted trees (defaults 20 trees, depth 5, 32 bins).
 
@@ -60,18 +35,17 @@ def train_gbt(train_df: DataFrame, features_col: str, label_col: str,
     _prepare(train_df.sparkSession)
     gbt = GBTRegressor(featuresCol=features_col, labelCol=label_col, predictionCol=prediction_col,
                        seed=seed, checkpointInterval=10, **params)
-    return _fit_balanced(gbt, train_df, staged)
+    return gbt.fit(train_df)
 
 
 def train_rf(train_df: DataFrame, features_col: str, label_col: str,
-             prediction_col: str = "Prediction_Price", seed: int = 42, staged: bool = False,
+             prediction_col: str = "Prediction_Price", seed: int = 42,
              **params) -> RandomForestRegressionModel:
-    """L2: random forest baseline. ``staged=True`` when ``train_df`` comes
-    from ``stage_for_training`` (several models on one frame)."""
+    """L2: random forest baseline."""
     _prepare(train_df.sparkSession)
     rf = RandomForestRegressor(featuresCol=features_col, labelCol=label_col,
-                               predictionCol=prediction_col, seed=seed, checkpointInterval=10, **params)
-    return _fit_balanced(rf, train_df, staged)
+                               predictionCol=prediction_col, seed=seed, **params)
+    return rf.fit(train_df)
 
 
 def predict(model, df: DataFrame) -> DataFrame:
@@ -84,9 +58,9 @@ def regression_metrics(predictions: Mapping[str, DataFrame], label_col: str, pre
 
     ``rmse = sqrt(avg((p - y)^2))`` and ``r2 = 1 - SSE / SST`` with
     ``SST = sum((y - mean(y))^2)`` - the definitions of RegressionEvaluator.
-    The frames are unioned and aggregated per model, so every metric of
-    every model comes out of one aggregation; the per-model label mean is a
-    small (one row per model) join.
+    Every metric of every model comes out of one aggregation: ``SST`` is the
+    population variance of the label times ``n``, so no second pass and no
+    join with the mean is needed.
     """
     parts = [df.select(F.lit(name).alias("model"), F.col(label_col).cast("double").alias("__y"),
                        F.col(prediction_col).cast("double").alias("__p"))
@@ -94,27 +68,11 @@ def regression_metrics(predictions: Mapping[str, DataFrame], label_col: str, pre
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    means = u.groupBy("model").agg(F.avg("__y").alias("__mean"))
-    # One row per model: a size fixed by the call, broadcast by AQE at run time.
-    j = u.join(means, on="model")
-    agg = j.groupBy("model").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(F.pow(F.col("__p") - F.col("__y"), 2))).alias("rmse"),
-        F.sum(F.pow(F.col("__p") - F.col("__y"), 2)).alias("__sse"),
-        F.sum(F.pow(F.col("__y") - F.col("__mean"), 2)).alias("__sst"))
-    return agg.select("model", "n", "rmse",
-                      (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("__sst"))).alias("r2"))
-
-
-def evaluator_metrics(predictions: Mapping[str, DataFrame], label_col: str, prediction_col: str) -> DataFrame:
-    """L4 with ``RegressionEvaluator`` (one job per metric and model), as the
-    reference does; the numbers equal ``regression_metrics``."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    ev = RegressionEvaluator(labelCol=label_col, predictionCol=prediction_col)
-    rows = [(name, float(ev.evaluate(df, {ev.metricName: "rmse"})),
-             float(ev.evaluate(df, {ev.metricName: "r2"}))) for name, df in predictions.items()]
-    spark = next(iter(predictions.values())).sparkSession
-    return spark.createDataFrame(rows, "model string, rmse double, r2 double")
+    error = F.pow(F.col("__p") - F.col("__y"), 2)
+    agg = u.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.avg(error).alias("__mse"),
+                                 F.var_pop("__y").alias("__var"))
+    return agg.select("model", "n", F.sqrt("__mse").alias("rmse"),
+                      (F.lit(1.0) - F.try_divide(F.col("__mse"), F.col("__var"))).alias("r2"))
 
 
 def feature_names(df: DataFrame, features_col: str) -> list[str]:
@@ -125,7 +83,8 @@ def feature_names(df: DataFrame, features_col: str) -> list[str]:
     for group in meta.get("attrs", {}).values():
         for a in group:
             names[a["idx"]] = a["name"]
-    return [names[i] for i in sorted(names)]
+    # A slot without a name keeps its place.
+    return [names.get(i, f"slot_{i}") for i in range(max(names, default=-1) + 1)]
 
 
 def feature_importance(model, names: Sequence[str], top: int | None = 10) -> DataFrame:
@@ -136,6 +95,8 @@ def feature_importance(model, names: Sequence[str], top: int | None = 10) -> Dat
     """
     spark = SparkSession.getActiveSession()
     imp = model.featureImportances.toArray()
+    if len(names) != len(imp):
+        raise ValueError(f"{len(names)} names for {len(imp)} features")
     rows = [(str(n), float(v)) for n, v in zip(names, imp)]
     schema = T.StructType([T.StructField("feature", T.StringType(), False),
                            T.StructField("importance", T.DoubleType(), False)])
@@ -158,6 +119,6 @@ def load_model(cls, path: str):
     return cls.load(path)
 
 
-__all__ = ["train_gbt", "train_rf", "predict", "regression_metrics", "evaluator_metrics",
+__all__ = ["train_gbt", "train_rf", "predict", "regression_metrics",
            "feature_names", "feature_importance", "save_model", "load_model",
            "GBTRegressionModel", "RandomForestRegressionModel"]

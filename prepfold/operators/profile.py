@@ -78,11 +78,13 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key_cols: Sequence[str], fraction: float, seed: int) -> DataFrame:
-    """C4, layout-independent: keep a row when a hash of its key and the seed
-    falls under ``fraction``. The same keys are kept on any cluster, after any
-    repartition, and the predicate runs inside the scan stage."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols]), F.lit(1_000_000))
-    return df.where(h < F.lit(int(round(fraction * 1_000_000))))
+    """C4, layout-independent: keep a row when a hash of the seed and its key
+    (52 bits of MD5, which other engines have too) falls under ``fraction``.
+    The same keys are kept on any cluster, after any repartition, and the
+    predicate runs inside the scan stage."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
+    h = F.conv(F.substring(F.md5(key.cast("binary")), 1, 13), 16, 10).cast("double")
+    return df.where(h < F.lit(float(fraction) * float(1 << 52)))
 
 
 def distinct_values(df: DataFrame, c: str) -> DataFrame:

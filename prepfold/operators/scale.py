@@ -1,7 +1,7 @@
 """Scaling and skew corrections.
 
-Min and max of every column come from one aggregate that is broadcast as a
-single row, so scaling N columns costs one extra pass instead of 2N jobs.
+Min and max of every column come from one aggregate whose single row is a
+scalar subquery, so scaling N columns costs one extra pass instead of 2N jobs.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import half_up, inverse_log, log_or_null, safe_div
+from ..functions.scalar import inverse_log, log_or_null, safe_div
 from ..plans.stats import drop_stats, stat_name, with_stats
 
 
@@ -41,14 +41,14 @@ def min_max_scale(df: DataFrame, cols: Sequence[str], prefix: str = "scaled_") -
 
 def percent_scale(df: DataFrame, c: str, out_col: str) -> DataFrame:
     """``round(100 * (c - min) / (max - min))`` - a 0..100 scale."""
-    out = _min_max(df, [c]).withColumn(out_col, half_up(_unit(c) * F.lit(100.0), 0))
+    out = _min_max(df, [c]).withColumn(out_col, F.round(_unit(c) * F.lit(100.0), 0))
     return drop_stats(out)
 
 
 def percent_scale_round_first(df: DataFrame, c: str, out_col: str) -> DataFrame:
     """E1 as literally written in the reference: round the 0..1 value first,
     then multiply by 100, so the output is only 0 or 100."""
-    out = _min_max(df, [c]).withColumn(out_col, half_up(_unit(c), 0) * F.lit(100.0))
+    out = _min_max(df, [c]).withColumn(out_col, F.round(_unit(c), 0) * F.lit(100.0))
     return drop_stats(out)
 
 

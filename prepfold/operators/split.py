@@ -1,6 +1,6 @@
 """Leakage-safe, time-aware splitting.
 
-The split date is a one-row aggregate joined into the plan, so choosing it
+The split date is a one-row aggregate used as a scalar subquery, so choosing it
 and applying it is a single query, not a driver round trip.
 """
 

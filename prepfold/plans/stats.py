@@ -12,11 +12,15 @@ that is not exactly one row fails instead of multiplying rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import os
+import uuid
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+
 STAT_PREFIX = "__st_"
 
 
@@ -63,11 +67,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     intermediate (a shuffle of the whole input): the input is scanned once,
     every branch reads the same rows, and a task lost with its executor
     re-reads files instead of replaying the lineage. One job (the write);
-    the read-back is columnar, so each branch reads only its columns.
+    the read-back is columnar, so each branch reads only its columns. Select
+    the columns that are needed first. ``remove_cut_tables`` deletes the
+    application's tables when its results have been taken.
     """
-    import uuid
-
-    from ..session import shared_path
-    path = shared_path(df.sparkSession, "cut", uuid.uuid4().hex)
+    path = os.path.join(_cut_folder(df.sparkSession), uuid.uuid4().hex)
+    # The schema is known: no file is opened to ask for it.
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _cut_folder(spark: SparkSession) -> str:
+    return shared_path(spark, "cut", spark.conf.get("spark.app.id", "app"))
+
+
+_ONCE: dict[tuple, DataFrame] = {}
+
+
+def cut_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """``cut_lineage(build())``, built by the first call of an application with
+    this key and read by the later ones."""
+    own = (_cut_folder(spark), *key)
+    if own not in _ONCE:
+        _ONCE[own] = cut_lineage(build())
+    return _ONCE[own].select("*")
+
+
+def remove_cut_tables(spark: SparkSession) -> None:
+    """Delete every table this application wrote with ``cut_lineage``. Frames
+    that still read them fail afterwards, so take or write results first."""
+    folder = _cut_folder(spark)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
+    for key in [k for k in _ONCE if k[0] == folder]:
+        del _ONCE[key]

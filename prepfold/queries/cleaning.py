@@ -8,6 +8,7 @@ from .fixed import MAX_MISSING_SHARE, MIN_OBSERVATIONS, SIGMA_WIDTH
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean
+from ..operators.features import discover_values
 from .common import priced_orders
 
 
@@ -54,7 +55,7 @@ def exclude_values(spark, sf_dir):
 """)
 def impute_mean(spark, sf_dir):
     """Mean imputation of the label columns (as double)."""
-    j = docs_labeled(Tables(spark, sf_dir), written=True).select("doc_id", "quality", "toxic")
+    j = docs_labeled(Tables(spark, sf_dir), ["doc_id", "quality", "toxic"])
     out = clean.impute_mean(j, ["quality", "toxic"])
     return out.select("doc_id", half_up("quality", 9).alias("quality"),
                       half_up("toxic", 9).alias("toxic"))
@@ -69,7 +70,7 @@ def impute_mean(spark, sf_dir):
 """)
 def impute_median(spark, sf_dir):
     """Exact median imputation of the label columns."""
-    j = docs_labeled(Tables(spark, sf_dir), written=True).select("doc_id", "quality", "toxic")
+    j = docs_labeled(Tables(spark, sf_dir), ["doc_id", "quality", "toxic"])
     return clean.impute_median(j, ["quality", "toxic"])
 
 
@@ -114,40 +115,54 @@ def drop_sparse_columns(spark, sf_dir):
     return clean.null_share_report(docs_labeled(Tables(spark, sf_dir)), MAX_MISSING_SHARE)
 
 
-SIZES = list(range(1, 51))
-
-
-def size_flags(part):
-    return part.select("p_partkey", *[(F.col("p_size") == k).cast("int").alias(f"size_{k}")
-                                      for k in SIZES])
+@register("drop_low_obs", sql=f"""
+    SELECT row_number() OVER (ORDER BY p_size) - 1 AS position, 'size_' || p_size AS column_name,
+           count(*) AS obs_count, count(*) <= {MIN_OBSERVATIONS} AS dropped
+    FROM part WHERE p_size IS NOT NULL GROUP BY p_size
+""")
+def drop_low_obs(spark, sf_dir):
+    """Binary indicators of the table's sizes with at most 30 ones."""
+    part = Tables(spark, sf_dir).part
+    sizes = discover_values(part, "p_size")
+    flags = part.select("p_partkey", *[(F.col("p_size") == k).cast("int").alias(f"size_{k}") for k in sizes])
+    rep = clean.low_observation_report(flags, [f"size_{k}" for k in sizes], MIN_OBSERVATIONS)
+    return rep.select(F.col("position").cast("bigint").alias("position"), "column_name",
+                      F.col("obs_count").cast("bigint").alias("obs_count"), "dropped")
 
 
-@register("drop_low_obs", sql="\nUNION ALL\n".join(
-    f"SELECT {i} AS position, 'size_{k}' AS column_name, "
-    f"CAST(coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) AS BIGINT) AS obs_count, "
-    f"coalesce(sum(CASE WHEN p_size = {k} THEN 1 ELSE 0 END), 0) <= {MIN_OBSERVATIONS} AS dropped FROM part"
-    for i, k in enumerate(SIZES)))
-def drop_low_obs(spark, sf_dir):
-    """Binary size indicators with at most 30 ones (all 50 columns)."""
-    flags = size_flags(Tables(spark, sf_dir).part)
-    rep = clean.low_observation_report(flags, [f"size_{k}" for k in SIZES], MIN_OBSERVATIONS)
-    return rep.withColumn("obs_count", F.col("obs_count").cast("bigint"))
+@register("drop_sparse_columns_applied", sql="""
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 20 THEN l_extendedprice END AS often_known FROM lineitem
+""")
+def drop_sparse_columns_applied(spark, sf_dir):
+    """The columns that are more than 60% missing are gone (a price known
+    for one line in ten); one known more often stays."""
+    price = F.col("l_extendedprice")
+    li = Tables(spark, sf_dir).lineitem.select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_quantity") > 45, price).alias("rarely_known"),
+        F.when(F.col("l_quantity") > 20, price).alias("often_known"))
+    return clean.drop_sparse_columns(li, MAX_MISSING_SHARE)
+
+
+@register("drop_low_obs_applied", sql="""
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_returned FROM lineitem
+""")
+def drop_low_obs_applied(spark, sf_dir):
+    """An indicator without 30 ones is gone, the others stay."""
+    li = Tables(spark, sf_dir).lineitem.select(
+        "l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("is_returned"),
+        (F.col("l_quantity") > 1000).cast("int").alias("is_huge"))
+    return clean.drop_low_observation_columns(li, ["is_returned", "is_huge"], MIN_OBSERVATIONS)
 
 
 @register("zero_fill", sql="""
-    SELECT p.p_partkey, coalesce(c.A, 0) AS A, coalesce(c.N, 0) AS N, coalesce(c.R, 0) AS R
-    FROM part p LEFT JOIN (
-        SELECT l_partkey,
-               count(*) FILTER (WHERE l_returnflag = 'A') AS A,
-               count(*) FILTER (WHERE l_returnflag = 'N') AS N,
-               count(*) FILTER (WHERE l_returnflag = 'R') AS R
-        FROM lineitem GROUP BY l_partkey) c ON p.p_partkey = c.l_partkey
+    SELECT * FROM (PIVOT (SELECT p_partkey, l_returnflag FROM part LEFT JOIN lineitem ON p_partkey = l_partkey)
+                   ON l_returnflag USING count(l_returnflag) GROUP BY p_partkey)
 """)
 def zero_fill(spark, sf_dir):
     """Pivoted counts joined back to every part, zero-filled on the
-    pivoted columns only."""
+    pivoted columns only; the flags are the table's."""
     t = Tables(spark, sf_dir)
-    flags = ["A", "N", "R"]
+    flags = discover_values(t.lineitem, "l_returnflag")
     piv = (t.lineitem.groupBy("l_partkey").pivot("l_returnflag", flags)
            .agg(F.count(F.lit(1))).withColumnRenamed("l_partkey", "p_partkey"))
     joined = t.part.select("p_partkey").join(piv, on="p_partkey", how="left")

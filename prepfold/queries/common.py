@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +17,27 @@ def priced_orders(t: Tables) -> DataFrame:
                            "o_orderpriority", F.ln("o_totalprice").alias("log_price"))
 
 
-def listings(t: Tables, written: bool = False) -> DataFrame:
+def listings(t: Tables, written: Sequence[str] = ()) -> DataFrame:
     """Lines as listings: listed on the order date, off market on the ship
-    date; only lines shipped on or after the order date.
+    date (the stand-in data ship half the lines before the order; their days
+    on market are negative).
 
     ``lineitem`` joins ``orders`` on its key (a sort-merge join at scale; AQE
-    splits a skewed key). ``written=True`` writes the result once
-    (``cut_lineage``) for transforms that read it twice - a statistic and
+    splits a skewed key). The columns named in ``written`` are written once
+    (``cut_lineage``) for transforms that read them twice - a statistic and
     the rows - so the large join runs a single time.
     """
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                            "l_shipdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").where(F.col("l_shipdate") >= F.col("o_orderdate"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     out = j.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                    "o_totalprice",
                    F.col("o_orderdate").cast("date").alias("list_date"),
                    F.col("l_shipdate").cast("date").alias("offmkt_date"),
                    F.datediff(F.col("l_shipdate").cast("date"),
                               F.col("o_orderdate").cast("date")).alias("days_on_market"))
-    return cut_lineage(out) if written else out
+    return cut_lineage(out.select(*written)) if written else out
 
 
 LISTINGS_SQL = """
@@ -43,18 +46,17 @@ LISTINGS_SQL = """
            CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER)
                AS days_on_market
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    WHERE l_shipdate >= o_orderdate
 """
 
 
-def docs_labeled(t: Tables, written: bool = False) -> DataFrame:
+def docs_labeled(t: Tables, written: Sequence[str] = ()) -> DataFrame:
     """Documents left-joined to labels: ``quality``/``toxic`` are NULL for
-    unlabeled documents (the NULL-bearing stand-in). ``written=True`` writes
-    the join once for two-pass transforms (see ``listings``)."""
+    unlabeled documents (the NULL-bearing stand-in). The columns named in
+    ``written`` are written once for two-pass transforms (see ``listings``)."""
     d = t.documents.select("doc_id", "lang", "source", "n_chars")
     lab = t.labels.select("doc_id", "quality", "toxic")
     out = d.join(lab, on="doc_id", how="left")
-    return cut_lineage(out) if written else out
+    return cut_lineage(out.select(*written)) if written else out
 
 
 DOCS_LABELED_SQL = """

@@ -10,11 +10,6 @@ from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import features
 
-# The 16-word vocabulary of part names in the driver tables,
-# used as the explicit pivot / multi-hot value list (sorted).
-PART_NAME_VOCABULARY = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large",
-                        "new", "old", "plate", "red", "ring", "rod", "small", "widget"]
-
 
 def _lines(spark, sf_dir):
     return Tables(spark, sf_dir).lineitem
@@ -147,35 +142,52 @@ def token_vocabulary(spark, sf_dir):
     return features.token_vocabulary(_tokens(spark, sf_dir), "token")
 
 
-_MULTI_HOT_SQL = "SELECT p_partkey, " + ", ".join(
-    f"CASE WHEN list_contains(string_split(p_name, ' '), '{v}') THEN 1 ELSE 0 END AS name_{v}"
-    for v in PART_NAME_VOCABULARY) + " FROM part"
+_TOKENS_SQL = "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part"
+# The columns are the tokens of the table, as in the queries.
+_MULTI_HOT_SQL = f"""
+    SELECT * FROM (PIVOT (SELECT DISTINCT p_partkey, 'name_' || token AS token FROM ({_TOKENS_SQL}))
+                   ON token USING count(*) GROUP BY p_partkey)
+"""
+
+
+def _vocabulary(spark, sf_dir):
+    return features.discover_values(features.token_vocabulary(_tokens(spark, sf_dir), "token"), "token")
+
+
+def _with_list(spark, sf_dir):
+    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name").where(F.col("p_name").isNotNull())
+    return features.split_list(p, "p_name", " ", "name_tokens")
+
+
+def _as_long(df):
+    """Flags as the counts they are on the SQL side."""
+    return df.select(*[F.col(f"`{c}`").cast("bigint").alias(c) for c in df.columns])
 
 
 @register("multi_hot", sql=_MULTI_HOT_SQL)
 def multi_hot(spark, sf_dir):
-    """One 0/1 column per name token, computed per row (no shuffle)."""
-    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name")
-    p = features.split_list(p, "p_name", " ", "name_tokens")
-    out = features.multi_hot(p, "name_tokens", PART_NAME_VOCABULARY, prefix="name_")
-    return out.drop("p_name", "name_tokens")
+    """One 0/1 column per name token of the table, computed per row (no
+    shuffle)."""
+    out = features.multi_hot(_with_list(spark, sf_dir), "name_tokens", _vocabulary(spark, sf_dir), prefix="name_")
+    return _as_long(out.drop("p_name", "name_tokens"))
+
+
+@register("multi_hot_long", sql=f"SELECT DISTINCT p_partkey, token, 1 AS present FROM ({_TOKENS_SQL})")
+def multi_hot_long(spark, sf_dir):
+    """I5 in sparse form: no vocabulary is gathered."""
+    return features.multi_hot_long(_with_list(spark, sf_dir), "p_partkey", "name_tokens")
 
 
 @register("multi_hot_pivot_join", sql=_MULTI_HOT_SQL)
 def multi_hot_pivot_join(spark, sf_dir):
     """I5 with the reference's plan: explode, pivot by id, left join back on
     the id (F6), zero-fill the pivoted columns (D9)."""
-    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name")
-    p = features.split_list(p, "p_name", " ", "name_tokens")
-    out = features.multi_hot(p, "name_tokens", PART_NAME_VOCABULARY, prefix="name_",
+    out = features.multi_hot(_with_list(spark, sf_dir), "name_tokens", _vocabulary(spark, sf_dir), prefix="name_",
                              id_col="p_partkey", strategy="pivot_join")
-    return out.drop("p_name", "name_tokens")
+    return _as_long(out.drop("p_name", "name_tokens"))
 
 
-@register("pivot_tokens", sql="SELECT p_partkey, " + ", ".join(
-    f"max(CASE WHEN token = '{v}' THEN 1 END) AS {v}" for v in PART_NAME_VOCABULARY) + """
-    FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part) GROUP BY p_partkey
-""")
+@register("pivot_tokens", sql=f"SELECT * FROM (PIVOT ({_TOKENS_SQL}) ON token USING max(1) GROUP BY p_partkey)")
 def pivot_tokens(spark, sf_dir):
-    """Tokens pivoted by part key with an explicit value list."""
-    return features.pivot_tokens(_tokens(spark, sf_dir), "p_partkey", "token", PART_NAME_VOCABULARY)
+    """Tokens pivoted by part key; the value list is the table's."""
+    return features.pivot_tokens(_tokens(spark, sf_dir), "p_partkey", "token", _vocabulary(spark, sf_dir))

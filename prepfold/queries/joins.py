@@ -14,22 +14,26 @@ from ..plans.stats import cut_lineage
 def walk_lookup(t: Tables):
     """Stand-in for the walk-score table: one row per (user, value rounded to
     one digit) with a score, keys stored as text like the reference's."""
-    e = t.events.select("user_id", half_up("value", 1).alias("value"))
+    e = t.events.select("user_id", F.round("value", 1).alias("value"))
     g = e.groupBy("user_id", "value").agg(F.count(F.lit(1)).alias("walkscore"))
     return g.select(F.col("user_id").cast("string").alias("user_id"),
                     F.col("value").cast("string").alias("value"), "walkscore")
 
 
+# DuckDB's own round on the decimal text of the double, as Spark's round works.
+RK = "CAST(round(CAST(CAST(value AS VARCHAR) AS DECIMAL(38, 12)), 1) AS DOUBLE)"
+RK_E = RK.replace("(value ", "(e.value ")
+
 WALK_SQL = f"""
-    SELECT user_id, {hu('value', 1)} AS value, count(*) AS walkscore
+    SELECT user_id, {RK} AS value, count(*) AS walkscore
     FROM events GROUP BY 1, 2
 """
 
 
 @register("precision_join", sql=f"""
     WITH w AS ({WALK_SQL})
-    SELECT e.event_id, e.user_id, {hu('e.value', 1)} AS value, w.walkscore
-    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {hu('e.value', 1)} = w.value
+    SELECT e.event_id, e.user_id, {RK_E} AS value, w.walkscore
+    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {RK_E} = w.value
 """)
 def precision_join(spark, sf_dir):
     """events joined to the lookup on user and value at one digit."""
@@ -41,14 +45,14 @@ def precision_join(spark, sf_dir):
 
 @register("sql_left_join", sql=f"""
     WITH w AS ({WALK_SQL})
-    SELECT e.event_id, e.user_id, {hu('e.value', 1)} AS value, w.walkscore
-    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {hu('e.value', 1)} = w.value
+    SELECT e.event_id, e.user_id, {RK_E} AS value, w.walkscore
+    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {RK_E} = w.value
 """)
 def sql_left_join(spark, sf_dir):
     """the same join as SQL text over temp views."""
     t = Tables(spark, sf_dir)
     e = joins.align_keys(t.events.select("event_id", "user_id", "value"), ["value"], 1)
-    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").cast("bigint"))
+    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").try_cast("bigint"))
     return joins.sql_left_join(e, w, ["user_id", "value"])
 
 
@@ -58,22 +62,22 @@ def sql_left_join(spark, sf_dir):
     FROM events e LEFT JOIN w ON e.user_id = w.user_id AND e.value = w.value
     UNION ALL
     SELECT 'rounded_keys', count(*), count(*) FILTER (WHERE w.walkscore IS NULL)
-    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {hu('e.value', 1)} = w.value
+    FROM events e LEFT JOIN w ON e.user_id = w.user_id AND {RK_E} = w.value
 """)
 def join_audit_unmatched(spark, sf_dir):
     """unmatched rows when the keys keep their raw precision against
     the join on aligned keys."""
     t = Tables(spark, sf_dir)
     e = t.events.select("event_id", "user_id", "value")
-    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").cast("bigint"))
-    aligned = joins.align_keys(e, ["value"], 1)
-    keys = ["user_id", "value"]
-    return joins.unmatched_audit({"raw_keys": (e, w, keys), "rounded_keys": (aligned, w, keys)})
+    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").try_cast("bigint"))
+    return joins.unmatched_audit(e, w, {
+        "raw_keys": ["user_id", "value"],
+        "rounded_keys": {"user_id": F.col("user_id"), "value": F.round(F.col("value").try_cast("double"), 1)}})
 
 
 @register("join_audit_fanout", sql=f"""
     WITH w AS ({WALK_SQL}),
-         e AS (SELECT event_id, user_id, {hu('value', 1)} AS value FROM events)
+         e AS (SELECT event_id, user_id, {RK} AS value FROM events)
     SELECT 'all_keys' AS variant, (SELECT count(*) FROM e) AS n_left,
            (SELECT count(*) FROM e LEFT JOIN w ON e.user_id = w.user_id AND e.value = w.value) AS n_rows,
            (SELECT count(*) FROM (SELECT user_id, value FROM w GROUP BY 1, 2 HAVING count(*) > 1)) AS n_dup_right_keys
@@ -87,7 +91,7 @@ def join_audit_fanout(spark, sf_dir):
     keys, with the duplicate lookup keys that cause the fan-out."""
     t = Tables(spark, sf_dir)
     e = joins.align_keys(t.events.select("event_id", "user_id", "value"), ["value"], 1)
-    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").cast("bigint"))
+    w = joins.align_keys(walk_lookup(t), ["value"], 1).withColumn("user_id", F.col("user_id").try_cast("bigint"))
     return joins.fanout_audit(e, w, {"all_keys": ["user_id", "value"], "too_few_keys": ["user_id"]})
 
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from .fixed import SEED
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean, encode, model, split
-from ..plans.stats import attach, cut_lineage
+from ..plans.stats import attach, cut_lineage, cut_once
 
 CATEGORICALS = ["o_orderpriority", "c_mktsegment"]
 NUMERIC = ["n_lines", "total_qty", "avg_discount", "avg_tax", "c_acctbal", "c_nationkey"]
@@ -34,12 +35,22 @@ def order_frame(t: Tables):
     return clean.impute_constant(j, -1, ["n_lines", "total_qty", "avg_discount", "avg_tax"])
 
 
+_ORDERS_SPLIT_SQL = f"""
+    WITH o AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d, c_nationkey
+               FROM orders JOIN customer ON o_custkey = c_custkey),
+         s AS (SELECT CAST(max(d) - {TEST_DAYS} AS DATE) AS sd FROM o),
+         train AS (SELECT o.* FROM o, s WHERE d < sd),
+         test AS (SELECT o.* FROM o, s WHERE d >= sd)
+"""
+
+
+
 def model_data(t: Tables):
     """Sequential split (last year is test); indexers fit on train only, so
     category frequencies of the test period do not leak into training."""
-    # Read for the split date, the indexer fit, training and test: the line
-    # aggregation and its joins are written once.
-    j = cut_lineage(order_frame(t))
+    # Read for the split date, the indexer fit, training and test, by five
+    # queries: the line aggregation and its joins are written once a session.
+    j = cut_once(t.spark, ("order_frame", t.base_dir), lambda: order_frame(t))
     train, test = split.split_by_date(j, "order_date", split.split_date(j, "order_date", TEST_DAYS))
     _, indexers = encode.index_categoricals(train, CATEGORICALS, drop_originals=False)
     train = encode.assemble(indexers.transform(train), FEATURES)
@@ -47,46 +58,63 @@ def model_data(t: Tables):
     return train, test
 
 
+# What SQL can check of a trained model: which rows it was asked about, and
+# invariants. The values of the predictions are checked in pytest.
+_PREDICTED_SQL = _ORDERS_SPLIT_SQL + """
+    SELECT o_orderkey, o_totalprice, true AS predicted FROM test
+"""
+
+
 def _predictions(m, test):
     return model.predict(m, test).select("o_orderkey", LABEL, PREDICTION)
 
 
-@register("gbt_predict")
+def _predicted(m, test):
+    p = F.col(PREDICTION)
+    return _predictions(m, test).select("o_orderkey", LABEL, (p.isNotNull() & ~F.isnan(p)).alias("predicted"))
+
+
+@register("gbt_predict", sql=_PREDICTED_SQL)
 def gbt_predict(spark, sf_dir):
-    """L1/L3: gradient-boosted trees, seed 42, predictions on the test year."""
+    """L1/L3: gradient-boosted trees, seed 42: a prediction for each order of
+    the test year."""
     train, test = model_data(Tables(spark, sf_dir))
-    return _predictions(model.train_gbt(train, "features", LABEL, PREDICTION, seed=SEED), test)
+    return _predicted(model.train_gbt(train, "features", LABEL, PREDICTION, seed=SEED), test)
 
 
-@register("rfr_predict")
+@register("rfr_predict", sql=_PREDICTED_SQL)
 def rfr_predict(spark, sf_dir):
     """L2/L3: random forest baseline."""
     train, test = model_data(Tables(spark, sf_dir))
-    return _predictions(model.train_rf(train, "features", LABEL, PREDICTION, seed=SEED), test)
+    return _predicted(model.train_rf(train, "features", LABEL, PREDICTION, seed=SEED), test)
+
+
+MODEL_NAMES = ("Gradient Boosted Trees", "Random Forest Regression")
 
 
-@register("evaluate_trees")
+@register("evaluate_trees", sql=_ORDERS_SPLIT_SQL + ", m AS (SELECT unnest([" + ", ".join(
+    f"'{n}'" for n in MODEL_NAMES) + """]) AS model)
+    SELECT m.model, count(*) AS n, true AS same_rmse, true AS same_r2 FROM m, test GROUP BY m.model
+""")
 def evaluate_trees(spark, sf_dir):
-    """L4: RMSE and R² of both tree models, one aggregation."""
+    """L4: RMSE and R² of both tree models in one aggregation, held against
+    ``RegressionEvaluator``'s."""
     train, test = model_data(Tables(spark, sf_dir))
-    staged = model.stage_for_training(train)  # both models read one persisted copy
-    try:
-        gbt = model.train_gbt(staged, "features", LABEL, PREDICTION, staged=True)
-        rf = model.train_rf(staged, "features", LABEL, PREDICTION, staged=True)
-    finally:
-        staged.unpersist()
-    preds = {"Gradient Boosted Trees": _predictions(gbt, test),
-             "Random Forest Regression": _predictions(rf, test)}
-    return model.regression_metrics(preds, LABEL, PREDICTION)
+    gbt = model.train_gbt(train, "features", LABEL, PREDICTION)
+    rf = model.train_rf(train, "features", LABEL, PREDICTION)
+    # Scored once; the metrics of either kind read the written predictions.
+    preds = {n: cut_lineage(_predictions(m, test)) for n, m in zip(MODEL_NAMES, (gbt, rf))}
+    ev = RegressionEvaluator(labelCol=LABEL, predictionCol=PREDICTION)
+    known = {k: {n: ev.evaluate(p, {ev.metricName: k}) for n, p in preds.items()} for k in ("rmse", "r2")}
+    ours = model.regression_metrics(preds, LABEL, PREDICTION)
 
+    def same(k):
+        wanted = F.lit(None).cast("double")
+        for n, v in known[k].items():
+            wanted = F.when(F.col("model") == n, F.lit(float(v))).otherwise(wanted)
+        return F.abs(F.col(k) - wanted) <= 1e-9 * F.greatest(F.abs(wanted), F.lit(1.0))
 
-_ORDERS_SPLIT_SQL = f"""
-    WITH o AS (SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d, c_nationkey
-               FROM orders JOIN customer ON o_custkey = c_custkey),
-         s AS (SELECT CAST(max(d) - {TEST_DAYS} AS DATE) AS sd FROM o),
-         train AS (SELECT o.* FROM o, s WHERE d < sd),
-         test AS (SELECT o.* FROM o, s WHERE d >= sd)
-"""
+    return ours.select("model", "n", same("rmse").alias("same_rmse"), same("r2").alias("same_r2"))
 
 
 @register("evaluate_models", sql=_ORDERS_SPLIT_SQL + f""",
@@ -119,15 +147,21 @@ def evaluate_models(spark, sf_dir):
     return m.select("model", "n", half_up("rmse", 6).alias("rmse"), half_up("r2", 9).alias("r2"))
 
 
-@register("feature_importance")
+@register("feature_importance", sql="SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + f"""]) AS feature,
+    {len(FEATURES)} AS n_ranked, CAST(1 AS DOUBLE) AS total
+""")
 def feature_importance(spark, sf_dir):
-    """The ten most important features of the boosted model."""
+    """The features of the boosted model, ranked; their importances
+    add up to one. (The ranking itself is not SQL; ``feature_importance``
+    with ``top=10`` is the report.)"""
     train, _ = model_data(Tables(spark, sf_dir))
     m = model.train_gbt(train, "features", LABEL, PREDICTION, seed=SEED)
-    return model.feature_importance(m, model.feature_names(train, "features"), top=10)
+    ranked = model.feature_importance(m, model.feature_names(train, "features"), top=10)
+    total = ranked.agg(F.count(F.lit(1)).cast("int").alias("n_ranked"), F.round(F.sum("importance"), 9).alias("total"))
+    return attach(ranked.select("feature"), total)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", sql=_ORDERS_SPLIT_SQL + "SELECT count(*) AS n_rows, count(*) AS n_equal FROM test")
 def model_roundtrip(spark, sf_dir):
     """A4/A5: save the forest to the shared folder, load it back and count
     test rows whose predictions are equal before and after."""

@@ -90,7 +90,7 @@ CORR_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 
 
 def _corr_sql(a, b):
-    return hu(f"covar_samp({a}, {b}) / (stddev_samp({a}) * stddev_samp({b}))", 6)
+    return hu(f"corr({a}, {b})", 6)
 
 
 @register("max_corr", sql="\n".join([
@@ -141,7 +141,10 @@ def sample(spark, sf_dir):
     return profile.bernoulli_sample(o, SAMPLE_FRACTION, SEED)
 
 
-@register("hash_sample")
+@register("hash_sample", sql=f"""
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE CAST('0x' || substr(md5('{SEED}|' || o_orderkey), 1, 13) AS BIGINT) < {SAMPLE_FRACTION} * pow(2, 52)
+""")
 def hash_sample(spark, sf_dir):
     """C4, layout-independent: half of the orders chosen by key hash."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")

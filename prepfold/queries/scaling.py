@@ -26,12 +26,12 @@ from .common import LISTINGS_SQL, listings  # noqa: E402
     WITH l AS ({LISTINGS_SQL}),
          s AS (SELECT min(days_on_market) AS lo, max(days_on_market) AS hi FROM l)
     SELECT l_orderkey, l_linenumber, days_on_market,
-           {hu('(CAST(days_on_market - lo AS DOUBLE) / CAST(hi - lo AS DOUBLE)) * 100.0', 0)} AS percentage_scaled_days
+           round((CAST(days_on_market - lo AS DOUBLE) / CAST(hi - lo AS DOUBLE)) * 100.0, 0) AS percentage_scaled_days
     FROM l, s
 """)
 def percent_scale(spark, sf_dir):
     """Days on market on a 0..100 scale."""
-    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "days_on_market")
+    lst = listings(Tables(spark, sf_dir), ["l_orderkey", "l_linenumber", "days_on_market"])
     return scale.percent_scale(lst, "days_on_market", "percentage_scaled_days")
 
 
@@ -39,12 +39,12 @@ def percent_scale(spark, sf_dir):
     WITH l AS ({LISTINGS_SQL}),
          s AS (SELECT min(days_on_market) AS lo, max(days_on_market) AS hi FROM l)
     SELECT l_orderkey, l_linenumber, days_on_market,
-           {hu('CAST(days_on_market - lo AS DOUBLE) / CAST(hi - lo AS DOUBLE)', 0)} * 100.0 AS percentage_scaled_days
+           round(CAST(days_on_market - lo AS DOUBLE) / CAST(hi - lo AS DOUBLE), 0) * 100.0 AS percentage_scaled_days
     FROM l, s
 """)
 def percent_scale_round_first(spark, sf_dir):
     """E1 as the reference wrote it (round, then times 100)."""
-    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "days_on_market")
+    lst = listings(Tables(spark, sf_dir), ["l_orderkey", "l_linenumber", "days_on_market"])
     return scale.percent_scale_round_first(lst, "days_on_market", "percentage_scaled_days")
 
 

@@ -26,7 +26,7 @@ AS_OF_DATE = dt.date(2000, 12, 10)
 @register("split_date", sql=f"SELECT CAST(split_date AS VARCHAR) AS split_date FROM ({SPLIT_SQL})")
 def split_date(spark, sf_dir):
     """Q1: last off-market date minus 45 days."""
-    s = split.split_date(listings(Tables(spark, sf_dir), written=True), "offmkt_date", TEST_DAYS)
+    s = split.split_date(listings(Tables(spark, sf_dir)), "offmkt_date", TEST_DAYS)
     return s.select(F.col("split_date").cast("string").alias("split_date"))
 
 
@@ -45,7 +45,7 @@ def _label_sql(split_expr: str) -> str:
 @register("time_split", sql=_label_sql(SPLIT_SQL))
 def time_split(spark, sf_dir):
     """Q2: train / test / neither around the split date."""
-    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
+    lst = listings(Tables(spark, sf_dir), ["l_orderkey", "l_linenumber", "list_date", "offmkt_date"])
     return _dates_as_text(
         split.label_split(lst, "list_date", "offmkt_date", split.split_date(lst, "offmkt_date", TEST_DAYS)))
 
@@ -72,6 +72,6 @@ def asof_days_open(spark, sf_dir):
 """))
 def time_split_pct(spark, sf_dir):
     """Q4: split at 80% of the listing-date span."""
-    lst = listings(Tables(spark, sf_dir), written=True).select("l_orderkey", "l_linenumber", "list_date", "offmkt_date")
+    lst = listings(Tables(spark, sf_dir), ["l_orderkey", "l_linenumber", "list_date", "offmkt_date"])
     return _dates_as_text(
         split.label_split(lst, "list_date", "offmkt_date", split.pct_split_date(lst, "list_date", 0.8)))

@@ -87,15 +87,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster (the context's default parallelism, else
-    the shuffle partition count)."""
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (model files, cut tables)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -6,7 +6,6 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -45,8 +44,3 @@ def register_view(df: DataFrame, name: str | None = None) -> str:
     view = name or f"v_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(view)
     return view
-
-
-def column_count(df: DataFrame) -> F.Column:
-    """Number of columns of ``df`` as a literal (schema, not data)."""
-    return F.lit(len(df.columns))

@@ -8,7 +8,6 @@ from tools.oracle_check import compare, duck_connection
 
 SF = "/root/testdata/sf0.001"
 SQL = {n: e.sql for n, e in catalog.REGISTRY.items() if e.sql}
-MODEL_QUERIES = {"gbt_predict", "rfr_predict", "evaluate_trees", "feature_importance", "model_roundtrip"}
 
 
 def test_entry_runs(spark):
@@ -20,7 +19,7 @@ def test_entry_runs(spark):
 def test_oracle_keys_are_queries():
     assert set(se.oracle_sql()) <= set(se.queries())
     missing = set(catalog.REGISTRY) - set(SQL)
-    assert missing <= MODEL_QUERIES | {"sample", "hash_sample"}
+    assert missing <= {"sample"}
 
 
 @pytest.fixture(scope="module")

@@ -17,6 +17,21 @@ def test_precision_join_rounds_both_sides(spark):
     assert out == {1: 80, 2: None}
 
 
+def test_precision_join_keys_are_rounded_like_round(spark):
+    values = [-93.5, 93.5, -0.5, 1.005, 2.675, 1e15, 2e15, None]
+    df = spark.createDataFrame([(i, v, i) for i, v in enumerate(values)], "id int, v double, k int")
+    for digits in (0, 2, 5):
+        lookup = df.select(F.col("v").cast("string").alias("v"), F.col("k").cast("string").alias("k"), F.lit(1).alias("s"))
+        lookup = lookup.unionByName(spark.createDataFrame([("7", "no number", 2)], "v string, k string, s int"))
+        out = joins.precision_join(df, lookup, ["v"], ["k"], digits).collect()
+        wanted = {r.id: r.w for r in df.select("id", F.round("v", digits).alias("w")).collect()}
+        assert {r.id: r.v for r in out} == wanted
+        assert {r.id: r.s for r in out} == {i: (None if v is None else 1) for i, v in enumerate(values)}
+    big = spark.createDataFrame([("1e15", 10), ("2e15", 20)], "v string, s int")
+    got = joins.precision_join(df.where("v > 1e14").select("id", "v"), big, ["v"], digits=5).collect()
+    assert {(r.v, r.s) for r in got} == {(1e15, 10), (2e15, 20)}
+
+
 def test_left_join_never_loses_rows_and_fanout_audit(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
     right = spark.createDataFrame([(1, "x", 10), (1, "y", 11), (2, "x", 12)], "k int, k2 string, s int")
@@ -25,7 +40,7 @@ def test_left_join_never_loses_rows_and_fanout_audit(spark):
            joins.fanout_audit(left2, right, {"good": ["k", "k2"], "few": ["k"]}).collect()}
     assert rep == {"good": (3, 3, 0), "few": (3, 4, 1)}
     um = {r.variant: r.n_unmatched for r in joins.unmatched_audit(
-        {"good": (left2, right, ["k", "k2"])}).collect()}
+        left2, right, {"good": ["k", "k2"]}).collect()}
     assert um == {"good": 1}
 
 
@@ -37,7 +52,7 @@ def test_join_audit_counts_equal_materialised_join(spark):
     assert r.n_left == 5 and r.n_rows == joined.count() == 9
     assert r.n_unmatched == joined.where("s IS NULL").count() == 2
     assert r.n_dup_right_keys == 1
-    plan = joins.join_audit({"v": (left, right, ["k"])})._jdf.queryExecution().optimizedPlan().toString()
+    plan = joins.left_join_counts(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" in plan and plan.count("Aggregate") >= 3
 
 
