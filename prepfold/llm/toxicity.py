@@ -74,13 +74,22 @@ def _grams(data: np.ndarray):
         yield start, (value[start] >> np.uint32(32 - BUCKETS.bit_length() + 1)).astype(np.int32)
 
 
+def _words(text: bytes) -> list[bytes]:
+    """The words of a text; one that follows itself counts once."""
+    return [w for w, _ in groupby(text.translate(_BYTES).split())]
+
+
+def _joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes with a space before, between and after words, start of each word:
+    the space before it)."""
+    sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+    return np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8), np.cumsum(sizes) - sizes
+
+
 def _prepared(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, start of each word (the space before it), words per document);
-    a word that follows itself counts once."""
-    lists = [[w for w, _ in groupby(t.translate(_BYTES).split())] for t in documents]
-    data = np.frombuffer(b" " + b" ".join(w for ws in lists for w in ws) + b" ", np.uint8)
-    sizes = np.fromiter((len(w) + 1 for ws in lists for w in ws), np.int64)
-    return data, np.cumsum(sizes) - sizes, np.array([len(ws) for ws in lists], np.int64)
+    """(bytes, start of each word, words per document)."""
+    lists = [_words(t) for t in documents]
+    return *_joined([w for ws in lists for w in ws]), np.array([len(ws) for ws in lists], np.int64)
 
 
 def word_scores(data: np.ndarray, word_at: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -167,22 +176,22 @@ def _calibrate(best: np.ndarray, counts: np.ndarray, label: np.ndarray) -> tuple
 def train(documents: list[bytes], label: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> Model:
     """documents and 0/1 labels -> model."""
     prior = float(label.mean()) if len(label) else 0.0
-    data, word_at, n_words = _prepared(documents)
-    if len(np.unique(label)) < 2 or not len(word_at):
+    if len(np.unique(label)) < 2:
         return Model(prior)
-    # Distinct words, and their n-grams as one list.
-    ends = np.append(word_at[1:], len(data) - 1)
-    text = data.tobytes()
+    # Words as numbers of distinct words, a document at a time.
     known: dict[bytes, int] = {}
-    word = np.array([known.setdefault(text[a:b], len(known)) for a, b in zip(word_at.tolist(), ends.tolist())])
-    flat, at, _ = _prepared([w.strip() for w in known])
-    parts = [(np.searchsorted(at, start, "right") - 1, bucket) for start, bucket in _grams(flat)]
-    owner = np.concatenate([p[0] for p in parts])
-    order = np.argsort(owner, kind="stable")
-    bucket = np.concatenate([p[1] for p in parts])[order]
-    size = np.bincount(owner, minlength=len(known))
+    lists = [np.array([known.setdefault(w, len(known)) for w in _words(t)], np.int32) for t in documents]
+    n_words, word = np.array([len(x) for x in lists], np.int64), np.concatenate(lists)
+    if not len(word):
+        return Model(prior)
+    bucket, size = _grams_of(list(known))
     first = np.cumsum(size) - size
-    del owner, order, parts, flat
+    del known, lists
+
+    def scores_now(model: Model) -> np.ndarray:
+        upto = np.concatenate([[0.0], np.cumsum(model.weight[bucket], dtype=np.float64)])
+        own = (upto[first + size] - upto[first]) / np.maximum(size, 1)
+        return passage_scores(own[word], start, counts, n_words) + model.bias
 
     start, counts = passages(n_words)
     length = np.diff(np.append(start, n_words.sum()))
@@ -196,8 +205,7 @@ def train(documents: list[bytes], label: np.ndarray, epochs: int = EPOCHS, seed:
     size_of_batch = min(BATCH, max(64, len(start) // 384))
     for epoch in range(epochs):
         if epoch:
-            model = _linear(prior, table_, softmax, bias)
-            score = passage_scores(word_scores(data, word_at, model.weight), start, counts, n_words)
+            score = scores_now(_linear(prior, table_, softmax, bias)) - float(bias[1] - bias[0])
             top = np.maximum.reduceat(score, (np.cumsum(counts) - counts)[counts > 0])
             best = np.repeat(top, counts[counts > 0])
             toxic = (score >= best - 1e-9) | ((epoch < 2) & (score > best / 2))
@@ -237,12 +245,26 @@ def train(documents: list[bytes], label: np.ndarray, epochs: int = EPOCHS, seed:
             grown_b += grad_b ** 2
             bias -= RATE * grad_b / np.sqrt(grown_b)
     model = _linear(prior, table_, softmax, bias)
-    best, counts = model.best(documents)
     some = counts > 0
-    model.calibration = _calibrate(best[some], counts[some], label[some])
+    best = np.maximum.reduceat(scores_now(model), (np.cumsum(counts) - counts)[some])
+    model.calibration = _calibrate(best, counts[some], label[some])
     return model
 
 
+def _grams_of(words: list[bytes], step: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets of the n-grams of each word, one word after the other; how
+    many each has)."""
+    buckets, sizes = [], []
+    for k in range(0, len(words), step):
+        data, at = _joined(words[k:k + step])
+        parts = [(np.searchsorted(at, start, "right") - 1, own) for start, own in _grams(data)]
+        owner = np.concatenate([p[0] for p in parts])
+        order = np.argsort(owner, kind="stable")
+        buckets.append(np.concatenate([p[1] for p in parts])[order])
+        sizes.append(np.bincount(owner, minlength=len(at)))
+    return np.concatenate(buckets), np.concatenate(sizes)
+
+
 def _linear(prior: float, table_: np.ndarray, softmax: np.ndarray, bias: np.ndarray) -> Model:
     """The difference of the two classes' logits, by n-gram."""
     return Model(prior, (table_ @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
