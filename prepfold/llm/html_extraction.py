@@ -4,13 +4,14 @@ Markup is stripped to lines: a block-level element starts a line, inline
 elements leave none, scripts, styles and comments go, and so do elements that
 say they are no main text (menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments), by their tag, role, class or id. Where an
-element was dropped, or containers meet, blank lines stay.
+element was dropped, or containers meet, one or two blank lines stay, around
+an article as many as a window.
 
 The line-block sum at a line is the text length (without link texts, menus
 being all links) of it and the next ``WINDOW - 1`` lines. A surge point is
 where the sum rises from nothing, a dive point where it falls back to
 nothing, so a stretch between the two is text without a gap of ``WINDOW``
-blank lines. Short lines inside a stretch stay with it. A stretch is kept if
+lines that are blank or links. Short lines inside a stretch stay with it. A stretch is kept if
 its highest sum reaches ``SURGE``; in a page that marks its article (article,
 main) the lines outside count for nothing and every stretch inside is kept;
 if no stretch reaches the mark, the one with most text is.
@@ -64,6 +65,7 @@ BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 CONTAINERS = {"article", "aside", "body", "div", "header", "main", "section", "table"}
 ARTICLE = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
 
@@ -90,6 +92,7 @@ class _Lines:
         self.lines: list[tuple[str, int, bool]] = []
         self.parts: list[str] = []
         self.links: list[str] = []
+        self.heading = False
 
     def add(self, text: str, in_link: bool) -> None:
         self.parts.append(text)
@@ -100,10 +103,14 @@ class _Lines:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                linked = sum(len(" ".join(html.unescape(t).split())) for t in self.links)
+                # A heading that is a link is still a heading.
+                linked = 0 if self.heading else sum(len(" ".join(html.unescape(t).split())) for t in self.links)
                 self.lines.append((text, max(0, len(text) - linked), inside))
             self.parts, self.links = [], []
-        self.lines += [("", 0, inside)] * blank
+        self.heading = False
+        # Containers that meet, however many, do not part what stands in them.
+        there = next((k for k, x in enumerate(reversed(self.lines)) if x[0]), len(self.lines))
+        self.lines += [("", 0, inside)] * (blank if blank >= WINDOW else min(blank, max(0, WINDOW - 1 - there)))
 
 
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
@@ -148,7 +155,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 depth += -1 if closes else 1
             if depth == 0 or (dropping == "head" and tag == "body"):
                 dropping, saved = "", None
-                out.end(inside > 0, WINDOW)
+                out.end(inside > 0, 1)
             continue
         if not closes and tag not in VOID and m.start() not in kept_names:
             why = _says_no(tag, m["attrs"], inside > 0)
@@ -168,6 +175,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 out.end(inside > 0, WINDOW)
             if tag in ("p", "div", "li"):
                 link = 0  # an unclosed link ends with its block
+            out.heading = tag in HEADINGS and not closes
     out.end(inside > 0)
     return out.lines
 
@@ -204,7 +212,12 @@ def main_text(page: str | None) -> str:
     if not marked:
         high = [s for s in found if s[2] >= SURGE]
         found = high or sorted(found, key=lambda s: (-sum(lengths[s[0]:s[1]]), s[0]))[:1]
-    return "\n\n".join(text for a, b, _ in found for text, _, _ in lines[a:b] if text)
+    kept = []
+    for a, b, _ in found:
+        own = [k for k in range(a, b) if lengths[k]]
+        # Link lines at the edges, which the window took in, are the menu's.
+        kept += [lines[k][0] for k in range(own[0], own[-1] + 1) if lines[k][0]] if own else []
+    return "\n\n".join(kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -60,8 +60,15 @@ def test_stretches_have_surge_and_dive_points():
 
 
 def test_short_stretches_go_where_no_article_is_marked():
-    menu = "<div>Home</div><hr>" + "<div></div>" * 4
-    assert hx.main_text(menu + "".join(f"<p>{html.escape(b)}</p>" for b in BLOCKS)) == "\n\n".join(BLOCKS)
+    menu = "<div>Home</div>" + "<ul>" + "<li><a href=x>Some longer name of a page</a>" * 4 + "</ul>"
+    text = "".join(f"<div><div><p>{html.escape(b)}</p></div></div>" for b in BLOCKS)
+    assert hx.main_text(menu + text + menu.removeprefix("<div>Home</div>")) == "\n\n".join(BLOCKS)
+    assert hx.main_text(menu + "<h1><a href=y>A title</a></h1>" + text) == "\n\n".join(["A title", *BLOCKS])
+
+
+def test_an_advert_does_not_cut_short_ends_off():
+    text = f"<div><p>{LONG}</p>{AROUND['advert']}<p>Short end.</p></div>"
+    assert hx.main_text(text) == f"{LONG.strip()}\n\nShort end."
 
 
 def test_whole_table(spark):
