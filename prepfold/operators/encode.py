@@ -50,7 +50,8 @@ def bucketize(df: DataFrame, c: str, splits: Sequence[float], out_col: str,
 
 def string_index(df: DataFrame, c: str, out_col: str, handle_invalid: str = "error"):
     """Labels to indices, most frequent first, ties alphabetical.
-    Returns ``(frame, model)``."""
+    Returns ``(frame, model)``. The model holds the label list on the driver
+    and in every task: for categories, not for id-like columns."""
     model = StringIndexer(inputCol=c, outputCol=out_col, handleInvalid=handle_invalid).fit(df)
     return model.transform(df), model
 
