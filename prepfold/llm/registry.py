@@ -18,5 +18,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE_SQL,
+    "op6_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
