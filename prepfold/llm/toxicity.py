@@ -1,6 +1,6 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its byte n-grams (3 to 5 bytes, with a mark at either
+A word is the bag of its byte n-grams (2 to 5 bytes, with a mark at either
 end), each hashed to a row of an embedding table; a passage of ``PASSAGE``
 words is the average of its words, a word the average of its n-grams. A
 linear softmax over the two classes reads the average; embeddings and softmax
@@ -38,10 +38,10 @@ from pyspark.sql import types as T
 
 from .shared import table, texts
 
-GRAMS = (3, 4, 5)
+GRAMS = (2, 3, 4, 5)
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-PASSAGE = 8
+PASSAGE = 3
 TRAIN_DOCS = 6000
 EPOCHS = 6
 BATCH = 4096

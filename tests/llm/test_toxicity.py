@@ -45,7 +45,8 @@ def test_word_scores_are_averages_of_ngrams():
     assert np.allclose(got, own)
 
 
-def test_passages_of_all_lengths():
+def test_passages_of_all_lengths(monkeypatch):
+    monkeypatch.setattr(tx, "PASSAGE", 8)
     n_words = np.array([0, 1, 8, 9, 0, 17])
     start, counts = tx.passages(n_words)
     assert counts.tolist() == [0, 1, 1, 2, 0, 3]
