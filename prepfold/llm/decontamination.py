@@ -318,14 +318,25 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
             .select("item_id", "item_start", "length", f"at.{id_col}", "at.doc_start"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  **names) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a window of the benchmark; columns
-    stay as they are."""
-    row = "__row"
-    rows = written(docs.withColumn(row, F.monotonically_increasing_id()))
-    hit = contamination(rows, benchmark, id_col, text_col, row_col=row, **names).filter("n_hit > 0").select(row)
-    return rows.join(hit, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay as they are. No row moves: a task drops what its shards hit."""
+    at = docs.columns.index(text_col)
+
+    def clean(queries):
+        shared = docs.sparkSession.sparkContext.broadcast(queries)
+
+        def run(batches):
+            for held, shard in _shards(batches, shared.value, at):
+                spans, _ = shard.hits()
+                yield from pa.Table.from_batches(held).filter(pa.array([not s for s in spans])).to_batches()
+
+        return run
+
+    for block in _blocks(benchmark, item_col, item_text_col, window):
+        docs = docs.mapInArrow(clean(block), docs.schema)
+    return docs
 
 
 _WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
