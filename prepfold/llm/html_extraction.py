@@ -46,17 +46,18 @@ MARKUP = re.compile(
       | <[!?/][^>]*+(?:>|\Z)                                    # declaration""", re.X | re.S)
 NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*))""", re.I)
 
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "math", "object", "canvas"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "object", "canvas"}
 DROPPED = {"nav", "footer", "aside", "form", "menu", "select", "button", "dialog", "head", "noframes"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu",
          "menubar", "form", "note", "toolbar"}
 #: Words of class or id names that mark what is no main text.
 NOT_TEXT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed|s)?|promos?|promotions?|banners?|"
-    r"side-?bars?|nav|navs|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|headers?|footers?|foot|comments?|"
+    r"(?:^|[\s_-])(?:ads?|ad(?:box|unit|slot|space)|ads(?:ense|bygoogle)|advert\w*|sponsor(?:ed|s)?|promos?|promotions?|"
+    r"banners?|(?<!has-)(?<!no-)(?<!with-)side-?bars?|nav|navs|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|headers?|footers?|foot|comments?|"
     r"comment-?list|respond|disqus|replies|notices?|cookies?|consent|gdpr|alerts?|popups?|modal|overlay|newsletter|"
     r"subscribe|subscription|signup|login|share|sharing|social|related|recommended|pagination|pager|widgets?|"
     r"toolbar|skip-?link)(?=$|[\s_-])", re.I)
+CAPITAL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: An article's own header holds its title.
 HEADER = re.compile(r"(?:^|[\s_-])(?:headers?)(?=$|[\s_-])", re.I)
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir",
@@ -80,8 +81,10 @@ def _says_no(tag: str, attrs: str, inside: bool) -> str:
             if m[1].lower() == "role":
                 if value.strip().lower() in ROLES:
                     return "tag"
-            elif NOT_TEXT.search(HEADER.sub(" ", value) if inside else value):
-                return "name"
+            else:
+                value = CAPITAL.sub("-", value)
+                if NOT_TEXT.search(HEADER.sub(" ", value) if inside else value):
+                    return "name"
     return ""
 
 

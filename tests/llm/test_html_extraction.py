@@ -54,6 +54,13 @@ def test_odd_markup():
     assert hx.main_text("<script>a") == hx.main_text("") == hx.main_text(None) == hx.main_text("<p> &nbsp; </p>") == ""
 
 
+@pytest.mark.parametrize("name,gone", [("commentList", True), ("adsbygoogle", True), ("advertBox top", True), ("sideBar", True),
+                                       ("post has-sidebar", False), ("headline", False), ("adventure", False), ("shared-text", False)])
+def test_names(name, gone):
+    text = f"<div><p>{LONG}</p><div class='{name}'><p>{LONG}!</p></div></div>"
+    assert hx.main_text(text) == LONG.strip() + ("" if gone else f"\n\n{' '.join((LONG + '!').split())}")
+
+
 def test_stretches_have_surge_and_dive_points():
     assert hx.stretches([0, 0, 0, 90, 0, 5, 0, 0, 0, 7]) == [(1, 6, 95), (7, 10, 7)]
     assert hx.stretches([]) == []
