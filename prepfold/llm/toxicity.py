@@ -48,6 +48,8 @@ BATCH = 4096
 KEEP = 0.5
 CLEAN = 1 / 3
 RATE = 0.5
+#: Text scored at a time.
+SLICE_BYTES = 1 << 20
 SEED = 42
 
 #: A-Z to a-z; ASCII that is no letter and no digit to a space.
@@ -298,9 +300,14 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     def run(batches):
         model = shared.value
         for batch in batches:
-            column = batch.column(at)
-            score = np.concatenate([np.empty(0), *(model.scores(texts(column.slice(k, 512)))
-                                                   for k in range(0, len(column), 512))])
+            score, own, size = [np.empty(0)], [], 0
+            for text in texts(batch.column(at)):
+                own.append(text)
+                size += len(text)
+                if size >= SLICE_BYTES:
+                    score.append(model.scores(own))
+                    own, size = [], 0
+            score = np.concatenate([*score, model.scores(own)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*names, score_col])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
