@@ -6,8 +6,10 @@ space (a token holds white space only alone or as its first character), so
 texts can be cut before their spaces and each distinct piece of a batch be
 encoded once, by the library's model; numpy then puts the pieces' ids
 together. A piece that starts or ends with white space could depend on its
-neighbours; a text with such a piece goes to the library whole. ``tests/llm``
-hold the ids against the library's for whole texts.
+neighbours; a text with such a piece goes to the library whole. A text that
+spells an added token (<|endoftext|>) gets that token's id, as in the library's
+plain call; such tokens hold no white space, so they lie within one piece.
+``tests/llm`` hold the ids against the library's for whole texts.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ REMEMBERED = 500_000
 #: ASCII marks up to the piece's end: two pre-tokens.
 WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+)"
                   rb"([!-/:-@\[-`{-~]*)")
+#: What a part of such a piece can be.
+SPELT = re.compile(rb"[^!-/:-@\[-`{-~]*[!-/:-@\[-`{-~]*")
 #: Text encoded at a time, and pieces put together at a time.
 SLICE_BYTES = 8 << 20
 SLICE = 1 << 17
@@ -43,7 +47,6 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.cuts = _cuts_at_spaces(self.tokenizer, pre_tokenizers)
         name_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -185,4 +188,6 @@ def _cuts_at_spaces(tokenizer, pre_tokenizers) -> bool:
     from tokenizers import models
     pre = tokenizer.pre_tokenizer
     return (isinstance(tokenizer.model, models.BPE) and tokenizer.normalizer is None
-            and isinstance(pre, pre_tokenizers.ByteLevel) and not pre.add_prefix_space and pre.use_regex)
+            and isinstance(pre, pre_tokenizers.ByteLevel) and not pre.add_prefix_space and pre.use_regex
+            and not any(t.lstrip or t.rstrip or t.single_word or any(map(str.isspace, t.content))
+                        or SPELT.fullmatch(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values()))

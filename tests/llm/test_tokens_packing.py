@@ -40,6 +40,18 @@ def test_ids_are_the_library_s(spark, library):
     assert same([], library)
 
 
+def test_added_tokens_are_the_plain_call_s():
+    plain = Tokenizer.from_file(vocabulary_path())
+    of = lambda text: plain.encode(text or "", add_special_tokens=False).ids
+    mark = "<|endoftext|>"
+    assert of(f" {mark}") == [220, 50256]
+    beside = ["", " ", "  ", "\n", "\n\n", " \n", "\t", "word", "été", "fin.", "%%", "<|", "|>", mark, "x\ny", "1"]
+    assert same([f"{a}{mark}{b}" for a in beside for b in beside], of)
+    rng = random.Random(4)
+    assert same(["".join(rng.choice([*beside, mark, "<|endoftext", " endoftext|>"]) for _ in range(rng.randint(1, 9)))
+                 for _ in range(3000)], of)
+
+
 def plain_sum_of_squares(lengths, capacity):
     """The rule itself: try every choice and count the squares anew."""
     bins, filled = [], []
