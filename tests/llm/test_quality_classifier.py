@@ -71,3 +71,32 @@ def test_edge_rows(spark, labels):
     if len(labels) < 5:
         assert {r.goodness for r in got} == {1.0}
     assert qc.scored(docs.limit(0), model, score_col="goodness").count() == 0
+
+
+def test_every_unlabelled_row_may_take_part(spark, monkeypatch):
+    """A pool larger than any sample: its rows are all counted, in the table
+    and in memory alike, and about the share asked for gets a label."""
+    seen = {}
+    total = qc.Stored.total
+
+    def counted(self, run):
+        got = total(self, run)
+        seen.setdefault("rows", got[0])
+        return got
+
+    monkeypatch.setattr(qc.Stored, "total", counted)
+    docs = spark.range(7000).selectExpr("id as doc_id", "repeat(if(id % 2 = 0, 'Good words here. ', '### '), int(1 + id % 9)) as text",
+                                        "if(id < 200, 'en', 'fr') as lang", "'s' as source")
+    labels = spark.range(200).selectExpr("id as doc_id", "int(id % 2 = 0) as quality")
+    model = qc.fit(docs, labels)
+    assert seen["rows"] == 6800
+    got = qc.scored(docs, model).select("doc_id", "score", "lang").collect()
+    assert np.mean([(r.score >= 0.5) == (r.doc_id % 2 == 0) for r in got]) > 0.99
+
+
+def test_a_cut_takes_the_surest_rows():
+    logit = np.random.default_rng(1).normal(0, 8, 50_000)
+    own = qc._bins(logit)
+    at, share = qc._cut(np.bincount(own[own >= 0], minlength=qc.BINS), 2000)
+    taken = (own > at) | ((own == at) & (np.random.default_rng(2).random(50_000) < share))
+    assert abs(taken.sum() - 2000) <= 50 and logit[taken].min() > np.sort(logit)[-2200]
