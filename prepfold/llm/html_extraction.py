@@ -12,16 +12,18 @@ being all links) of it and the next ``WINDOW - 1`` lines. A surge point is
 where the sum rises from nothing, a dive point where it falls back to
 nothing, so a stretch between the two is text without a gap of ``WINDOW``
 lines that are blank or links. Short lines inside a stretch stay with it. A stretch is kept if
-its highest sum reaches ``SURGE``; in a page that marks its article (article,
-main) the lines outside count for nothing and every stretch inside is kept;
-if no stretch reaches the mark, the one with most text is.
+its highest sum reaches ``SURGE``; if no stretch reaches the mark, the one with most text is kept. In
+a page whose marked article (article, main) holds at least half of the text,
+the lines outside count for nothing and all inside are kept; a smaller marked
+article is kept with the stretches outside.
 
 Defined results: a null or empty page, or one of markup only, has the empty
 text; character references are decoded once, after the markup is gone; white
 space inside a block is one space; unclosed elements end where the page does,
-but one dropped for its class or id alone that never closes, or that holds the
-first article of the page, is not dropped; an
-unfinished tag at the end is no text; rows that repeat get a result each; an
+but one dropped for its class or id alone, or a form, that never closes, or that
+holds the first article of the page, is not dropped, nor a form, or an element
+with such a word in a part of its name, that holds most of a page's text where
+no other main text is; an unfinished tag at the end is no text; rows that repeat get a result each; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -55,8 +57,12 @@ NOT_TEXT = re.compile(
     r"(?:^|[\s_-])(?:ads?|ad(?:box|unit|slot|space)|ads(?:ense|bygoogle)|advert\w*|sponsor(?:ed|s)?|promos?|promotions?|"
     r"banners?|(?<!has-)(?<!no-)(?<!with-)side-?bars?|nav|navs|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|headers?|footers?|foot|comments?|"
     r"comment-?list|respond|disqus|replies|notices?|cookies?|consent|gdpr|alerts?|popups?|modal|overlay|newsletter|"
-    r"subscribe|subscription|signup|login|share|sharing|social|related|recommended|pagination|pager|widgets?|"
+    r"subscribe|subscription|signup|login|share|sharing|social|related|recommended|pagination|pager|(?<!elementor-)widgets?|"
     r"toolbar|skip-?link)(?=$|[\s_-])", re.I)
+#: Classes that tell an element's state, not what it is.
+STATE = re.compile(r"(?<!\S)(?:(?:has|no|with|without)-\S+|\S+-(?:open|closed|enabled|disabled|allowed))(?!\S)", re.I)
+#: Names of a reader's comment that is marked up as an article.
+COMMENT = re.compile(r"comments?[_-]\S*", re.I)
 CAPITAL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: An article's own header holds its title.
 HEADER = re.compile(r"(?:^|[\s_-])(?:headers?)(?=$|[\s_-])", re.I)
@@ -71,21 +77,32 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 
 def _says_no(tag: str, attrs: str, inside: bool) -> str:
-    """'tag' or 'name' if an element is no main text by its tag or role, or by
-    its class or id; else ''."""
+    """'tag' if an element is no main text by its tag or role, 'form' if it is
+    a form, 'name' if a whole class or id says so, 'part' if a part of one
+    does; else ''."""
+    if tag == "form":
+        return "form"
     if tag in DROPPED or (tag == "header" and not inside):
         return "tag"
+    why = ""
     if "=" in attrs and tag not in ("html", "body"):
         for m in NAMED.finditer(attrs):
             value = m[2] or m[3] or m[4] or ""
             if m[1].lower() == "role":
                 if value.strip().lower() in ROLES:
-                    return "tag"
+                    return "form" if value.strip().lower() == "form" else "tag"
             else:
-                value = CAPITAL.sub("-", value)
-                if NOT_TEXT.search(HEADER.sub(" ", value) if inside else value):
+                value = STATE.sub(" ", CAPITAL.sub("-", value))
+                if inside:
+                    value = HEADER.sub(" ", value)
+                if any(map(NOT_TEXT.fullmatch, value.split())):
                     return "name"
-    return ""
+                # An article is one unless a whole name says it is not.
+                if tag in ARTICLE:
+                    why = why or ("part" if any(map(COMMENT.fullmatch, value.split())) else "")
+                elif NOT_TEXT.search(value):
+                    why = "part"
+    return why
 
 
 class _Lines:
@@ -116,11 +133,16 @@ class _Lines:
         self.lines += [("", 0, inside)] * (blank if blank >= WINDOW else min(blank, max(0, WINDOW - 1 - there)))
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
+def page_lines(page: str, kept_names: set[int]) -> tuple[_Lines, list[tuple[int, int]]]:
+    """The page's lines without dropped elements, but for those that start at
+    ``kept_names``; and (length without links, start) of each dropped element
+    that may hold the main text for all its name or tag says."""
     out = _Lines()
+    drops: list[tuple[int, int]] = []
+    mass, may_hold = 0, False
     at, link, inside = 0, 0, 0
     dropping, depth, resume = "", 0, 0  # the dropped element's tag, how deep, and where it began if by name
-    kept_names: set[int] = set()  # starts of elements that never closed
+    link_within = False
     n = len(page)
     saved = None
 
@@ -135,6 +157,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         stop = m.start() if m else n
         if stop > at and not dropping:
             out.add(page[at:stop], link > 0)
+        elif stop > at and not link_within:
+            mass += len(" ".join(page[at:stop].split()))
         if not m:
             if dropping and saved is not None:  # it never closed: go back and keep it
                 undrop()
@@ -154,9 +178,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                     and not _says_no(tag, m["attrs"], False)):
                 undrop()  # it holds the page's article
                 continue
+            if tag == "a" or tag in ("p", "div", "li"):
+                link_within = tag == "a" and not closes
             if tag == dropping and tag not in VOID:
                 depth += -1 if closes else 1
             if depth == 0 or (dropping == "head" and tag == "body"):
+                if may_hold:
+                    drops.append((mass, resume))
                 dropping, saved = "", None
                 out.end(inside > 0, 1)
             continue
@@ -165,7 +193,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             if why:
                 out.end(inside > 0)
                 dropping, depth, resume = tag, 1, m.start()
-                saved = (list(out.lines), [], [], link, inside) if why == "name" else None
+                mass, link_within, may_hold = 0, False, why in ("form", "part")
+                saved = (list(out.lines), [], [], link, inside) if why != "tag" else None
                 continue
         if tag == "br":
             out.add(" ", False)
@@ -180,7 +209,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 link = 0  # an unclosed link ends with its block
             out.heading = tag in HEADINGS and not closes
     out.end(inside > 0)
-    return out.lines
+    return out, drops
 
 
 def stretches(lengths: list[int]) -> list[tuple[int, int, int]]:
@@ -203,24 +232,31 @@ def stretches(lengths: list[int]) -> list[tuple[int, int, int]]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    lines = page_lines(page)
-    marked = any(inside and text for text, _, inside in lines)
-    if marked:
-        lines = [x if x[2] else ("", 0, False) for x in lines]
+    kept_names: set[int] = set()  # starts of elements that are kept for all their name or tag says
+    while True:
+        page_, drops = page_lines(page, kept_names)
+        lines = page_.lines
+        sizes = [x[1] for x in lines]
+        inside = any(x[2] and x[0] for x in lines)
+        found = stretches(sizes)
+        # Without a main text elsewhere, the dropped element that holds most of the page's text is it.
+        mass, start = max(drops, default=(0, 0))
+        if inside or mass < SURGE or mass <= sum(sizes) or any(s[2] >= SURGE for s in found):
+            break
+        kept_names.add(start)
+    # An article element that holds less than half of the text is not all of it.
+    if inside and 2 * sum(x[1] for x in lines if x[2]) >= sum(sizes):
         # The page says what its text is: a line of links counts like any other.
-        lengths = [len(text) for text, _, _ in lines]
-    else:
-        lengths = [size for _, size, _ in lines]
-    found = stretches(lengths)
-    if not marked:
-        high = [s for s in found if s[2] >= SURGE]
-        found = high or sorted(found, key=lambda s: (-sum(lengths[s[0]:s[1]]), s[0]))[:1]
-    kept = []
-    for a, b, _ in found:
-        own = [k for k in range(a, b) if lengths[k]]
+        return "\n\n".join(x[0] for x in lines if x[2] and x[0])
+    marked = [bool(x[2] and x[0]) for x in lines]
+    high = [s for s in found if s[2] >= SURGE or any(marked[s[0]:s[1]])]
+    high = high or sorted(found, key=lambda s: (-sum(sizes[s[0]:s[1]]), s[0]))[:1]
+    keep = set(k for k, x in enumerate(marked) if x)
+    for a, b, _ in high:
+        own = [k for k in range(a, b) if sizes[k]]
         # Link lines at the edges, which the window took in, are the menu's.
-        kept += [lines[k][0] for k in range(own[0], own[-1] + 1) if lines[k][0]] if own else []
-    return "\n\n".join(kept)
+        keep.update(range(own[0], own[-1] + 1) if own else ())
+    return "\n\n".join(lines[k][0] for k in sorted(keep) if lines[k][0])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -78,6 +78,25 @@ def test_an_advert_does_not_cut_short_ends_off():
     assert hx.main_text(text) == f"{LONG.strip()}\n\nShort end."
 
 
+@pytest.mark.parametrize("shape", ["<article class='post comments-open'>{}</article>", "<div class='entry has-comments'>{}</div>",
+                                   "<div class='elementor-widget-text-editor'>{}</div>", "<div class='social-page'>{}</div>",
+                                   "<form id='aspnetForm' method=post><div>{}</div></form>",
+                                   "<form id='aspnetForm'><article>{}</article></form>"])
+def test_an_article_is_not_dropped_with_its_container(shape):
+    page = f"<body><header><a href=/>Site</a></header>{AROUND['menu']}{shape.format(body())}{AROUND['footer']}</body>"
+    assert hx.main_text(page) == "\n\n".join(BLOCKS)
+
+
+def test_comments_stay_out_of_pages_without_a_marked_article():
+    comments = f"<ol class='comment-list'><li><article class='comment-body'><p>{LONG * 9}</p></article></ol>"
+    assert hx.main_text(f"<div class=content>{body()}</div>{comments}") == "\n\n".join(BLOCKS)
+
+
+def test_a_small_marked_article_is_not_all():
+    page = f"<main><p>Only a teaser.</p></main><div class=content>{body()}</div>"
+    assert hx.main_text(page) == "\n\n".join(["Only a teaser.", *BLOCKS])
+
+
 def test_whole_table(spark):
     pages = {r.page_id: r for r in table(spark, "/root/testdata/sf0.01", "pages").collect()}
     got = hx.op9_html_extraction(spark, "/root/testdata/sf0.01").collect()
