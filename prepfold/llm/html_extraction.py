@@ -12,7 +12,9 @@ being all links) of it and the next ``WINDOW - 1`` lines. A surge point is
 where the sum rises from nothing, a dive point where it falls back to
 nothing, so a stretch between the two is text without a gap of ``WINDOW``
 lines that are blank or links. Short lines inside a stretch stay with it. A stretch is kept if
-its highest sum reaches ``SURGE``; if no stretch reaches the mark, the one with most text is kept. In
+its highest sum reaches ``SURGE``, and with it every line, short ones and link
+lists too, that stands in the same container as its text or between kept
+stretches; if no stretch reaches the mark, the one with most text is kept. In
 a page whose marked article (article, main) holds at least half of the text,
 the lines outside count for nothing and all inside are kept; a smaller marked
 article is kept with the stretches outside.
@@ -106,10 +108,13 @@ def _says_no(tag: str, attrs: str, inside: bool) -> str:
 
 
 class _Lines:
-    """Lines of a page: text, its length without links, whether in an article."""
+    """Lines of a page: text, its length without links, whether in an article,
+    and the number of the container they stand in (0: none but the page)."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []
+        self.parents = [0]  # the container around each
+        self.open: list[tuple[str, int]] = []
         self.parts: list[str] = []
         self.links: list[str] = []
         self.heading = False
@@ -125,12 +130,24 @@ class _Lines:
             if text:
                 # A heading that is a link is still a heading.
                 linked = 0 if self.heading else sum(len(" ".join(html.unescape(t).split())) for t in self.links)
-                self.lines.append((text, max(0, len(text) - linked), inside))
+                self.lines.append((text, max(0, len(text) - linked), inside, self.home()))
             self.parts, self.links = [], []
         self.heading = False
         # Containers that meet, however many, do not part what stands in them.
         there = next((k for k, x in enumerate(reversed(self.lines)) if x[0]), len(self.lines))
-        self.lines += [("", 0, inside)] * (blank if blank >= WINDOW else min(blank, max(0, WINDOW - 1 - there)))
+        self.lines += [("", 0, inside, 0)] * (blank if blank >= WINDOW else min(blank, max(0, WINDOW - 1 - there)))
+
+
+    def home(self) -> int:
+        return self.open[-1][1] if self.open else 0
+
+    def container(self, tag: str, closes: bool) -> None:
+        if not closes:
+            self.parents.append(self.home())
+            self.open.append((tag, len(self.parents) - 1))
+        elif any(x[0] == tag for x in self.open):
+            while self.open.pop()[0] != tag:
+                pass
 
 
 def page_lines(page: str, kept_names: set[int]) -> tuple[_Lines, list[tuple[int, int]]]:
@@ -149,7 +166,7 @@ def page_lines(page: str, kept_names: set[int]) -> tuple[_Lines, list[tuple[int,
     def undrop():
         nonlocal at, dropping, saved, link, inside
         kept_names.add(resume)
-        out.lines, out.parts, out.links, link, inside = saved
+        out.lines, out.parts, out.links, link, inside, out.open = saved
         at, dropping, saved = resume, "", None
 
     while True:
@@ -194,7 +211,7 @@ def page_lines(page: str, kept_names: set[int]) -> tuple[_Lines, list[tuple[int,
                 out.end(inside > 0)
                 dropping, depth, resume = tag, 1, m.start()
                 mass, link_within, may_hold = 0, False, why in ("form", "part")
-                saved = (list(out.lines), [], [], link, inside) if why != "tag" else None
+                saved = (list(out.lines), [], [], link, inside, list(out.open)) if why != "tag" else None
                 continue
         if tag == "br":
             out.add(" ", False)
@@ -202,6 +219,8 @@ def page_lines(page: str, kept_names: set[int]) -> tuple[_Lines, list[tuple[int,
             link = max(0, link + (-1 if closes else 1))
         elif tag in BLOCKS:
             out.end(inside > 0, 1 if tag in CONTAINERS else 0)
+            if tag in CONTAINERS and tag != "body":
+                out.container(tag, closes)
             if tag in ARTICLE:
                 inside = max(0, inside + (-1 if closes else 1))
                 out.end(inside > 0, WINDOW)
@@ -252,11 +271,19 @@ def main_text(page: str | None) -> str:
     high = [s for s in found if s[2] >= SURGE or any(marked[s[0]:s[1]])]
     high = high or sorted(found, key=lambda s: (-sum(sizes[s[0]:s[1]]), s[0]))[:1]
     keep = set(k for k, x in enumerate(marked) if x)
+    held = [0] * len(page_.parents)
     for a, b, _ in high:
         own = [k for k in range(a, b) if sizes[k]]
         # Link lines at the edges, which the window took in, are the menu's.
         keep.update(range(own[0], own[-1] + 1) if own else ())
-    return "\n\n".join(lines[k][0] for k in sorted(keep) if lines[k][0])
+        for k in own:
+            held[lines[k][3]] += sizes[k]
+    # What stands in the container of a kept text is of it, however short, and so is what stands between.
+    home = [False] * len(held)
+    for k in range(1, len(held)):
+        home[k] = held[k] >= SURGE or home[page_.parents[k]]
+    keep.update(k for k, x in enumerate(lines) if home[x[3]])
+    return "\n\n".join(lines[k][0] for k in range(min(keep), max(keep) + 1) if lines[k][0]) if keep else ""
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

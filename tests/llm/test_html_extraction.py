@@ -97,6 +97,17 @@ def test_a_small_marked_article_is_not_all():
     assert hx.main_text(page) == "\n\n".join(["Only a teaser.", *BLOCKS])
 
 
+def test_short_ends_and_link_lists_of_the_article_stay():
+    links = "".join(f"<li><a href=x>Source {k}</a></li>" for k in range(4))
+    menu = "<div>Home</div><div><ul>" + links.replace("Source", "Menu") + "</ul></div>"
+    own = [LONG.strip(), *(f"Source {k}" for k in range(4)), "Short closing words."]
+    text = f"<div class=content><p>{LONG}</p><ul>{links}</ul><p>Short closing words.</p></div>"
+    assert hx.main_text(menu + text + menu) == "\n\n".join(own)
+    assert hx.main_text(menu + f"<div><p>{LONG}</p><ul>{links}</ul></div>" + menu) == "\n\n".join(own[:-1])
+    parts = f"<div><p>{LONG}</p></div><div><ul>{links}</ul></div><div><p>{LONG}</p></div>"
+    assert hx.main_text(menu + parts + menu.removeprefix("<div>Home</div>")) == "\n\n".join([*own[:-1], LONG.strip()])
+
+
 def test_whole_table(spark):
     pages = {r.page_id: r for r in table(spark, "/root/testdata/sf0.01", "pages").collect()}
     got = hx.op9_html_extraction(spark, "/root/testdata/sf0.01").collect()
