@@ -1,7 +1,7 @@
 """Queries of this subpackage and their DuckDB SQL."""
 
-from . import (decontamination, exact_dedup, html_extraction, huffman_output, line_dedup, packing, quality_classifier,
-               simhash_dedup, toxicity, url_filter)
+from . import (collocations, decontamination, exact_dedup, hard_negatives, html_extraction, huffman_output, line_dedup,
+               packing, quality_classifier, simhash_dedup, substring_dedup, toxicity, url_filter)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -14,10 +14,16 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_phrase_collocation_mining": collocations.op11_phrase_collocation_mining,
+    "op12_substring_dedup": substring_dedup.op12_substring_dedup,
+    "op13_hard_negative_mining": hard_negatives.op13_hard_negative_mining,
 }
 
 ORACLE_SQL = {
     "op3_line_dedup": line_dedup.ORACLE_SQL,
     "op6_benchmark_decontamination": decontamination.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_phrase_collocation_mining": collocations.ORACLE_SQL,
+    "op12_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op13_hard_negative_mining": hard_negatives.ORACLE_SQL,
 }
