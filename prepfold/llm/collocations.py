@@ -5,7 +5,9 @@ k words can only reach ``min_count`` if both phrases of k - 1 words inside it
 do, so the counts of one length give a Bloom filter for the next: a filter
 has no false negatives, and a fuller one only lets more phrases be counted.
 
-Each task counts in a HAT-trie. Languages and words get numbers in the task; a
+Texts are numbered once, in chunks with a dictionary of their own, written to
+the shared folder; every length is counted from these. Each task counts in a
+HAT-trie. Languages and words get numbers in the task; a
 shallow trie over them has the language and the first word as its upper
 levels, and hash containers below, keyed by the numbers that are left of a
 phrase. A container with more than ``BURST`` phrases bursts into a node with a
@@ -34,6 +36,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +50,8 @@ TOP = 2000
 BURST, MAX_PHRASES = 1 << 12, 1 << 20
 #: Words that get numbers before a task spills all and numbers anew.
 MAX_NUMBERS = 1 << 19
-#: Words counted at a time, and bytes of a slice of text.
-BATCH, SLICE = 1 << 18, 4 << 20
+#: Words of a chunk, and bytes of a slice of text.
+BATCH, SLICE = 1 << 19, 4 << 20
 #: Rows of a run sent at a time.
 RUN_ROWS = 1 << 15
 BITS_PER_KEY, PROBES = 16, 4
@@ -62,17 +65,28 @@ _BYTES = bytes(c + 32 if 65 <= c <= 90 else 10 if chr(c) in ".,;:!?\n\x0b\x0c\r"
                for c in range(256))
 
 
-class Numbers(dict):
-    """Numbers of words in the order they are met, and the words' hashes."""
+class Names(dict):
+    """Numbers of words in the order they are met."""
 
     def __init__(self):
         super().__init__({b"": GAP, b"\n": BREAK})
         self.names = [b"", b"\n"]
-        self.hashes = array("Q", [0, 0])
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.names)
         self.names.append(word)
+        return number
+
+
+class Numbers(Names):
+    """The same with the words' hashes."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = array("Q", [0, 0])
+
+    def __missing__(self, word: bytes) -> int:
+        number = super().__missing__(word)
         self.hashes.append(xxhash.xxh64_intdigest(word))
         return number
 
@@ -111,11 +125,16 @@ def phrase_hashes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _places(hashes: np.ndarray, masks: np.ndarray, slots: int):
-    """The slot of each hash, and its bit places there."""
+def _slotted(hashes: np.ndarray, masks: np.ndarray, slots: int):
+    """The slot of each hash, its mask, and the hash."""
     slot = (((hashes >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
+    return slot, masks[slot], hashes
+
+
+def _places(hashes: np.ndarray, mask) -> list[np.ndarray]:
+    """Bit places of each hash in its slot."""
     step = (hashes * MIX >> np.uint64(17)) | np.uint64(1)
-    return slot, [(hashes + np.uint64(k) * step) & masks for k in range(PROBES)]
+    return [(hashes + np.uint64(k) * step) & mask for k in range(PROBES)]
 
 
 def grouped(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,10 +154,9 @@ class HatTrie:
     """Counts of rows of numbers: nodes map a number to what is below it;
     below are further nodes, or containers keyed by the bytes of the rest."""
 
-    UPPER = 2  # levels that are always nodes
-
     def __init__(self, width: int, burst: int):
         self.width, self.burst = width, burst
+        self.upper = min(2, width - 1)  # levels that are always nodes, kept as one
         self.root: dict = {}
         self.sizes: dict = {}  # phrases of each subtree, by its two upper numbers
         self.total = 0
@@ -147,16 +165,16 @@ class HatTrie:
         """Distinct rows in ascending order, and their counts."""
         raw, width = rows.astype(np.uint32).tobytes(), 4 * self.width
         keys = [raw[i:i + width] for i in range(0, len(raw), width)]
-        tops = rows[:, :self.UPPER]
+        tops = rows[:, :self.upper]
         cuts = np.flatnonzero(np.any(tops[1:] != tops[:-1], axis=1)) + 1
         bounds = [0, *cuts.tolist(), len(rows)]
         counts = counts.tolist()
         for a, b in zip(bounds, bounds[1:]):
-            top = keys[a][:4 * self.UPPER]
+            top = keys[a][:4 * self.upper]
             below = self.root.get(top)
             if below is None:
                 below = self.root[top] = Container()
-            new, below = self._into(below, self.UPPER, keys, counts, a, b)
+            new, below = self._into(below, self.upper, keys, counts, a, b)
             self.root[top] = below
             self.sizes[top] = self.sizes.get(top, 0) + new
             self.total += new
@@ -212,78 +230,145 @@ class Container(dict):
     """A burstable hash container."""
 
 
-def _runs(docs: DataFrame, size: int, known) -> DataFrame:
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Texts as numbers, about ``BATCH`` words a row, written: the distinct
+    words, joined by line feeds, their hashes, the text as places among them,
+    and the language and length of each part."""
+    batch_words, slice_bytes = BATCH, SLICE
+    names = ["langs", "words", "hashes", "lang_of", "sizes", "ids"]
+
+    def run(batches):
+        numbers, langs, parts, size = Numbers(), Numbers(), [], 0
+
+        def flush():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([langs.names[2:]], pa.list_(pa.binary())), pa.array([b"\n".join(numbers.names[2:])]),
+                 pa.array([numbers.hashes.tobytes()]),
+                 pa.array([np.array([x for x, _ in parts], np.int32).tobytes()]),
+                 pa.array([np.array([len(x) for _, x in parts], np.int64).tobytes()]),
+                 pa.array([b"".join([x.astype(np.int32).tobytes() for _, x in parts])])], names=names)
+
+        for batch in batches:
+            for own, text in zip(texts(batch.column(0)), texts(batch.column(1))):
+                for part in _slices(text.translate(_BYTES), slice_bytes):
+                    found = word_numbers(part, numbers)
+                    parts.append((langs[own] if own else GAP, found))
+                    size += len(found)
+                    if size >= batch_words:
+                        yield flush()
+                        numbers, langs, parts, size = Numbers(), Numbers(), [], 0
+        if parts:
+            yield flush()
+
+    return written(docs.mapInArrow(
+        run, "langs array<binary>, words binary, hashes binary, lang_of binary, sizes binary, ids binary"))
+
+
+def _word_runs(chunks: DataFrame) -> DataFrame:
+    """(lang, phrase, n): sorted runs of the counts of single words. They are
+    all first words, so one hash container a language holds them."""
+    max_phrases = MAX_PHRASES
+
+    def run(batches):
+        found: dict[bytes, Container] = {}
+
+        def spill():
+            for own, below in found.items():
+                done = pa.table({"lang": pa.array([own] * len(below), pa.binary()).cast(pa.string()),
+                                 "phrase": pa.array(list(below), pa.binary()).cast(pa.string()),
+                                 "n": pa.array(list(below.values()), pa.int64())})
+                yield from done.sort_by("phrase").to_batches(RUN_ROWS)
+            found.clear()
+
+        for batch in batches:
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                langs, words = [b"", b"\n"] + row[0], [b"", b"\n"] + row[1].split(b"\n")
+                ids = np.frombuffer(row[4], np.int32)
+                lang = np.repeat(np.frombuffer(row[2], np.int32), np.frombuffer(row[3], np.int64))
+                both = lang.astype(np.int64) * len(words) + ids
+                codes, counts = np.unique(both[ids != BREAK], return_counts=True)
+                own, at = np.divmod(codes, len(words))
+                for x, w, n in zip(own.tolist(), at.tolist(), counts.tolist()):
+                    below = found.get(langs[x])
+                    if below is None:
+                        below = found[langs[x]] = Container()
+                    below[words[w]] = below.get(words[w], 0) + n
+                if sum(map(len, found.values())) > max_phrases:
+                    yield from spill()
+        yield from spill()
+
+    return (chunks.select("langs", "words", "lang_of", "sizes", "ids")
+            .mapInArrow(run, "lang string, phrase string, n long"))
+
+
+def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
     """(lang, phrase, n): sorted runs of the counts of phrases of ``size``
-    words; known: the filter of phrases one word shorter, or None."""
-    batch_words, max_phrases, max_numbers, burst, slice_bytes = BATCH, MAX_PHRASES, MAX_NUMBERS, BURST, SLICE
+    words; known: the filter of phrases one word shorter."""
+    max_phrases, max_numbers, burst = MAX_PHRASES, MAX_NUMBERS, BURST
 
     def run(batches):
-        state = {"langs": Numbers(), "words": Numbers(), "trie": HatTrie(size + 1, burst)}
-        buffer, buffered = [], 0
+        langs, words, trie = Names(), Names(), HatTrie(size + 1, burst)
 
         def spill(keep):
-            taken = state["trie"].take(keep)
+            taken = trie.take(keep)
             if not taken:
                 return
-            rows = np.frombuffer(b"".join([k for k, _ in taken]), np.uint32).reshape(-1, size + 1).tolist()
-            langs, words = state["langs"].names, state["words"].names
-            done = sorted((langs[r[0]], b" ".join([words[w] for w in r[1:]]), n) for r, (_, n) in zip(rows, taken))
-            for i in range(0, len(done), RUN_ROWS):
-                part = done[i:i + RUN_ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in part], pa.binary()).cast(pa.string()),
-                     pa.array([r[1] for r in part], pa.binary()).cast(pa.string()),
-                     pa.array([r[2] for r in part], pa.int64())], names=["lang", "phrase", "n"])
-
-        def count():
-            ids = np.concatenate([b for _, b in buffer])
-            lang = np.repeat(np.array([x for x, _ in buffer], np.int64), [len(b) for _, b in buffer])
-            if known is None:
-                at = np.flatnonzero(ids != BREAK)
-            else:
-                slots, masks, base, bits = known.value
-                shorter = len(ids) - size + 2
-                if shorter < 2:
-                    return
-                plain = ids != BREAK
-                use = plain[:shorter].copy()
-                for k in range(1, size - 1):
-                    use &= plain[k:k + shorter]
-                starts = np.flatnonzero(use)
-                hashes = np.frombuffer(state["words"].hashes, np.uint64).copy()
-                lang_hash = np.frombuffer(state["langs"].hashes, np.uint64).copy()
-                h = phrase_hashes(lang_hash[lang[starts]], [hashes[ids[starts + k]] for k in range(size - 1)])
-                slot = (((h >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
-                _, places = _places(h, masks[slot], slots)
-                found = np.ones(len(h), bool)
-                for p in places:
-                    found &= (bits[base[slot] + (p >> np.uint64(3)).astype(np.int64)]
-                              >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                use[starts[~found]] = False
-                at = np.flatnonzero(use[:-1] & use[1:])
-            if len(at):
-                rows, counts = grouped([lang[at]] + [ids[at + k] for k in range(size)])
-                state["trie"].add(rows, counts)
+            rows = np.frombuffer(b"".join([k for k, _ in taken]), np.uint32).reshape(-1, size + 1)
+            names = pa.array(words.names, pa.binary())
+            spelt = [names.take(pa.array(rows[:, k])) for k in range(1, size + 1)]
+            phrase = pc.binary_join_element_wise(*spelt, b" ")
+            done = pa.table({"lang": pa.array(langs.names, pa.binary()).take(pa.array(rows[:, 0])).cast(pa.string()),
+                             "phrase": phrase.cast(pa.string()), "n": pa.array([n for _, n in taken], pa.int64())})
+            yield from done.sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches(RUN_ROWS)
+
+        def starts(ids, lang, hashes, lang_hash):
+            """Where phrases stand of which both shorter ones are known."""
+            plain = ids != BREAK
+            slots, masks, base, bits = known.value
+            shorter = len(ids) - size + 2
+            if shorter < 2:
+                return np.empty(0, np.int64)
+            use = plain[:shorter].copy()
+            for k in range(1, size - 1):
+                use &= plain[k:k + shorter]
+            at = np.flatnonzero(use)
+            slot, mask, h = _slotted(phrase_hashes(lang_hash[lang[at]], [hashes[ids[at + k]] for k in range(size - 1)]),
+                                     masks, slots)
+            found = np.ones(len(h), bool)
+            for p in _places(h, mask):
+                found &= (bits[base[slot] + (p >> np.uint64(3)).astype(np.int64)]
+                          >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            use[at[~found]] = False
+            return np.flatnonzero(use[:-1] & use[1:])
+
+        def renumbered(column, names, numbers):
+            used = np.unique(column)
+            new = np.zeros(int(used[-1]) + 1, np.int64)
+            new[used] = [numbers[names[i]] for i in used.tolist()]
+            return new
 
         for batch in batches:
-            for own, text in zip(texts(batch.column(0)), texts(batch.column(1))):
-                for part in _slices(text.translate(_BYTES), slice_bytes):
-                    found = word_numbers(part, state["words"])
-                    buffer.append((state["langs"][own] if own else GAP, found))
-                    buffered += len(found)
-                    if buffered >= batch_words:
-                        count()
-                        buffer, buffered = [], 0
-                        if len(state["words"]) > max_numbers or len(state["langs"]) > max_numbers:
-                            yield from spill(0)
-                            state.update(langs=Numbers(), words=Numbers())
-                        elif state["trie"].total > max_phrases:
-                            yield from spill(max_phrases // 2)
-        if buffer:
-            count()
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
+                own_langs, own_words = [b"", b"\n"] + row[0], [b"", b"\n"] + row[1].split(b"\n")
+                ids = np.frombuffer(row[5], np.int32)
+                lang = np.repeat(np.frombuffer(row[3], np.int32), np.frombuffer(row[4], np.int64))
+                lang_hash = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in own_langs], np.uint64)
+                at = starts(ids, lang, np.frombuffer(row[2], np.uint64), lang_hash)
+                if not len(at):
+                    continue
+                rows, counts = grouped([lang[at].astype(np.int64)] + [ids[at + k].astype(np.int64) for k in range(size)])
+                rows = np.concatenate([renumbered(rows[:, :1], own_langs, langs)[rows[:, :1]],
+                                       renumbered(rows[:, 1:], own_words, words)[rows[:, 1:]]], axis=1)
+                order = np.lexsort([rows[:, k] for k in range(size, -1, -1)])
+                trie.add(rows[order], counts[order])
+                if len(words) > max_numbers or len(langs) > max_numbers:
+                    yield from spill(0)
+                    langs, words = Names(), Names()
+                elif trie.total > max_phrases:
+                    yield from spill(max_phrases // 2)
         yield from spill(0)
 
-    return docs.mapInArrow(run, "lang string, phrase string, n long")
+    return chunks.mapInArrow(run, "lang string, phrase string, n long")
 
 
 def _filter(counted: DataFrame, slots: int, max_bytes: int):
@@ -295,6 +380,7 @@ def _filter(counted: DataFrame, slots: int, max_bytes: int):
         return None
     wanted = 1 << max(10, int(np.ceil(np.log2(BITS_PER_KEY * total / slots))))
     size = min(wanted, 1 << int(np.log2(max(1024, max_bytes * 8 // slots))))
+    masks = np.full(slots, size - 1, np.uint64)
 
     def hashed(batches):
         for batch in batches:
@@ -304,7 +390,7 @@ def _filter(counted: DataFrame, slots: int, max_bytes: int):
                 continue
             words = np.array([[xxhash.xxh64_intdigest(w) for w in ws] for _, ws in rows], np.uint64)
             h = phrase_hashes(np.array([own for own, _ in rows], np.uint64), list(words.T))
-            slot, _ = _places(h, np.uint64(0), slots)
+            slot = _slotted(h, masks, slots)[0]
             order = np.argsort(slot, kind="stable")
             h, slot = h[order], slot[order]
             cuts = np.flatnonzero(np.diff(slot, prepend=-1)).tolist() + [len(slot)]
@@ -317,7 +403,7 @@ def _filter(counted: DataFrame, slots: int, max_bytes: int):
         for batch in batches:
             for slot, hashes in zip(*[c.to_pylist() for c in batch.columns]):
                 bits = parts.setdefault(slot, np.zeros(size // 8, np.uint8))
-                for p in _places(np.frombuffer(hashes, np.uint64), np.uint64(size - 1), slots)[1]:
+                for p in _places(np.frombuffer(hashes, np.uint64), np.uint64(size - 1)):
                     np.bitwise_or.at(bits, (p >> np.uint64(3)).astype(np.int64),
                                      np.left_shift(1, (p & np.uint64(7)).astype(np.uint8)).astype(np.uint8))
         for slot, bits in parts.items():
@@ -329,7 +415,7 @@ def _filter(counted: DataFrame, slots: int, max_bytes: int):
     bits = np.zeros(slots * (size // 8), np.uint8)
     for slot, own in parts:
         bits[slot * (size // 8):(slot + 1) * (size // 8)] = np.frombuffer(own, np.uint8)
-    return (slots, np.full(slots, size - 1, np.uint64), np.arange(slots, dtype=np.int64) * (size // 8), bits)
+    return (slots, masks, np.arange(slots, dtype=np.int64) * (size // 8), bits)
 
 
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT,
@@ -341,9 +427,10 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     slots = shuffle_partitions(spark)
     own = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    chunks = _chunks(own)
     totals, levels, known = None, [], None
     for size in range(1, max_words + 1):
-        runs = written(_runs(own, size, known))
+        runs = written(_word_runs(chunks) if known is None else _runs(chunks, size, known))
         if totals is None:
             totals = written(runs.groupBy("lang").agg(F.sum("n").alias("n")))
         level = written(runs.repartitionByRange(slots, "lang", "phrase").groupBy("lang", "phrase")
