@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table, texts, written
+from .shared import Shared, mapped, table, texts, written
 
 WINDOW = 10
 SHARD = 1 << 21
@@ -243,7 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run_with(queries):
-        shared = docs.sparkSession.sparkContext.broadcast(queries)
+        shared = Shared(docs.sparkSession, queries)
 
         def run(batches):
             queries = shared.value
@@ -294,7 +294,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     schema = f"item_id string, item_start long, length long, {id_col} {kind}, doc_start long"
 
     def run_with(queries):
-        shared = docs.sparkSession.sparkContext.broadcast(queries)
+        shared = Shared(docs.sparkSession, queries)
 
         def run(batches):
             q = shared.value
@@ -325,7 +325,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     at = docs.columns.index(text_col)
 
     def clean(queries):
-        shared = docs.sparkSession.sparkContext.broadcast(queries)
+        shared = Shared(docs.sparkSession, queries)
 
         def run(batches):
             for held, shard in _shards(batches, shared.value, at):
@@ -335,7 +335,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return run
 
     for block in _blocks(benchmark, item_col, item_text_col, window):
-        docs = docs.mapInArrow(clean(block), docs.schema)
+        docs = mapped(docs, clean(block))
     return docs
 
 

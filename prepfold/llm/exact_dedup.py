@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table, written
+from .shared import free_name, table, written
 
 FIRST_DIGIT = 64
 GROWTH = 64
@@ -103,9 +103,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that repeat an earlier row's text; columns
     and their names stay as they are."""
-    rows = numbered(docs, ROW)
-    dropped = exact_groups(rows, id_col, text_col, ROW).filter("not kept").select(ROW)
-    return rows.join(dropped, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number = free_name(docs.columns, ROW)
+    rows = numbered(docs, number)
+    dropped = exact_groups(rows, id_col, text_col, number).filter("not kept").select(number)
+    return rows.join(dropped, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE_SQL = r"""

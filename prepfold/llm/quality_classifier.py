@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import table, texts, written
+from .shared import Shared, mapped, table, texts, written
 from .toxicity import held_out
 
 TRAIN_DOCS = 6000
@@ -326,7 +326,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str
            score_col: str = "score") -> DataFrame:
     """``docs`` with three scores: ``score_col``, and the same with _content
     and _metadata behind it; all other columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     names = docs.columns
     at = [names.index(c) for c in (text_col, lang_col, source_col)]
     added = [score_col, f"{score_col}_content", f"{score_col}_metadata"]
@@ -338,9 +338,9 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str
             made = _views(list(zip(texts(text), lang.cast(pa.string()).to_pylist(), source.cast(pa.string()).to_pylist())))
             score = model.scores(made)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(score[:, k]) for k in range(3))],
-                                             names=[*names, *added])
+                                             names=[*batch.schema.names, *added])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, T.DoubleType()) for c in added)]))
+    return mapped(docs, run, [T.StructField(c, T.DoubleType()) for c in added])
 
 
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:

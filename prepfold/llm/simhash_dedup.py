@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import shuffle_partitions, table, texts, written
+from .shared import free_name, shuffle_partitions, table, texts, written
 
 SHINGLE = 3
 SEED = 42
@@ -278,9 +278,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                 max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component; columns stay as they are."""
-    rows = written(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    dropped = near_duplicates(rows, id_col, text_col, ROW, size, max_bits=max_bits).filter("not kept").select(ROW)
-    return rows.join(dropped, ROW, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    number = free_name(docs.columns, ROW)
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()))
+    dropped = near_duplicates(rows, id_col, text_col, number, size, max_bits=max_bits).filter("not kept").select(number)
+    return rows.join(dropped, number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import table, texts
+from .shared import Shared, mapped, table, texts
 
 GRAMS = (2, 3, 4, 5)
 BUCKETS = 1 << 17
@@ -293,9 +293,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a score; all other columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text_col)
+    shared = Shared(docs.sparkSession, model)
+    at = docs.columns.index(text_col)
 
     def run(batches):
         model = shared.value
@@ -308,9 +307,10 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
                     score.append(model.scores(own))
                     own, size = [], 0
             score = np.concatenate([*score, model.scores(own)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)],
+                                             names=[*batch.schema.names, "score"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return mapped(docs, run, [T.StructField(score_col, T.DoubleType())])
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
