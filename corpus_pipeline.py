@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepfold.llm import decontamination, exact_dedup, packing, simhash_dedup, toxicity
-from prepfold.llm.shared import table
+from prepfold.llm.shared import free_name, table
 from prepfold.session import shared_path
 
 SCORE = "__toxicity"
@@ -29,7 +29,8 @@ SCORE = "__toxicity"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, score_col=SCORE).filter(F.col(SCORE) < 0.5).drop(SCORE)
+    score = free_name(docs.columns, SCORE)
+    return toxicity.scored(docs, model, score_col=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
