@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import excluding, null_if_above
 from ..plans import quantiles
-from ..plans.stats import attach, drop_stats, one_row, stat_name, to_long, with_stats
+from ..plans.stats import attach, drop_stats, one_row, stat_name, to_long, with_stats, without_nan
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -45,7 +45,8 @@ def exclude_values(df: DataFrame, c: str, values: Sequence, keep_null: bool = Tr
 
 def sigma_bounds(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
     """One row ``(mean, stddev, low_bound, high_bound)`` of column ``c``."""
-    s = one_row(df, {"mean": F.mean(c), "stddev": F.stddev(c)})
+    x = without_nan(df, c)
+    s = one_row(df, {"mean": F.mean(x), "stddev": F.stddev(x)})
     return s.select("mean", "stddev",
                     (F.col("mean") - F.lit(k) * F.col("stddev")).alias("low_bound"),
                     (F.col("mean") + F.lit(k) * F.col("stddev")).alias("high_bound"))
@@ -54,7 +55,8 @@ def sigma_bounds(df: DataFrame, c: str, k: float = 3.0) -> DataFrame:
 def sigma_filter(df: DataFrame, c: str, k: float = 3.0, keep_if_constant: bool = False) -> DataFrame:
     """D3: keep rows strictly inside ``mean +- k * stddev`` (sample stddev).
 
-    NULL values fail both comparisons and are dropped, as in the reference.
+    NULL values fail both comparisons and are dropped, as in the reference;
+    NaN counts as missing, in the bounds and in the rows.
     With a constant column (stddev 0) the strict bounds drop every row;
     ``keep_if_constant`` keeps them instead.
     """
@@ -64,7 +66,7 @@ def sigma_filter(df: DataFrame, c: str, k: float = 3.0, keep_if_constant: bool =
     x = F.col(c)
     inside = (x < F.col(hi)) & (x > F.col(lo))
     if keep_if_constant:
-        inside = inside | ((F.col(sd) == 0) & x.isNotNull())
+        inside = inside | ((F.col(sd) == 0) & without_nan(df, c).isNotNull())
     return drop_stats(attach(df, b).where(inside))
 
 

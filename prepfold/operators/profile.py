@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.stats import attach, drop_stats, one_row, stat_name
+from ..plans.stats import attach, drop_stats, one_row, stat_name, without_nan
 from .clean import _missing, null_share_report
 
 
@@ -97,8 +97,9 @@ def histogram(df: DataFrame, c: str, bins: int = 20) -> DataFrame:
 
     Min and max come from a one-row aggregate; bin ``i`` covers
     ``[low, high)`` and the last one includes the maximum. Empty bins are
-    absent. NULL values are not counted.
+    absent. NULL and NaN are not counted.
     """
+    df = df.select(without_nan(df, c).alias(c))
     lo, hi = stat_name(c, "min"), stat_name(c, "max")
     s = one_row(df, {lo: F.min(F.col(c).cast("double")), hi: F.max(F.col(c).cast("double"))})
     width = (F.col(hi) - F.col(lo)) / F.lit(float(bins))

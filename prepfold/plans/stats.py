@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,14 @@ def stat_name(*parts: str) -> str:
     return STAT_PREFIX + "_".join(parts)
 
 
+def without_nan(df: DataFrame, c: str) -> Column:
+    """Column ``c`` with NaN as NULL, so that it counts as missing."""
+    x = F.col(c)
+    if dict(df.dtypes).get(c) in ("float", "double"):
+        return F.when(~F.isnan(x), x)
+    return x
+
+
 def one_row(df: DataFrame, named: Mapping[str, Column]) -> DataFrame:
     """All named aggregates of ``df`` in one pass -> a one-row frame."""
     return df.agg(*[expr.alias(name) for name, expr in named.items()])
@@ -81,18 +89,6 @@ def _cut_folder(spark: SparkSession) -> str:
     return shared_path(spark, "cut", spark.conf.get("spark.app.id", "app"))
 
 
-_ONCE: dict[tuple, DataFrame] = {}
-
-
-def cut_once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """``cut_lineage(build())``, built by the first call of an application with
-    this key and read by the later ones."""
-    own = (_cut_folder(spark), *key)
-    if own not in _ONCE:
-        _ONCE[own] = cut_lineage(build())
-    return _ONCE[own].select("*")
-
-
 def remove_cut_tables(spark: SparkSession) -> None:
     """Delete every table this application wrote with ``cut_lineage``. Frames
     that still read them fail afterwards, so take or write results first."""
@@ -100,5 +96,3 @@ def remove_cut_tables(spark: SparkSession) -> None:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(conf).delete(path, True)
-    for key in [k for k in _ONCE if k[0] == folder]:
-        del _ONCE[key]

@@ -8,6 +8,7 @@ from .fixed import MAX_MISSING_SHARE, MIN_OBSERVATIONS, SIGMA_WIDTH
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean
+from ..plans.stats import to_long
 from ..operators.features import discover_values
 from .common import priced_orders
 
@@ -155,8 +156,10 @@ def drop_low_obs_applied(spark, sf_dir):
 
 
 @register("zero_fill", sql="""
-    SELECT * FROM (PIVOT (SELECT p_partkey, l_returnflag FROM part LEFT JOIN lineitem ON p_partkey = l_partkey)
-                   ON l_returnflag USING count(l_returnflag) GROUP BY p_partkey)
+    WITH v AS (SELECT DISTINCT l_returnflag AS flag FROM lineitem WHERE l_returnflag IS NOT NULL),
+         n AS (SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY l_partkey, l_returnflag)
+    SELECT p.p_partkey, v.flag AS column_name, coalesce(n.n, 0) AS value
+    FROM part p CROSS JOIN v LEFT JOIN n ON n.l_partkey = p.p_partkey AND n.l_returnflag = v.flag
 """)
 def zero_fill(spark, sf_dir):
     """Pivoted counts joined back to every part, zero-filled on the
@@ -166,7 +169,8 @@ def zero_fill(spark, sf_dir):
     piv = (t.lineitem.groupBy("l_partkey").pivot("l_returnflag", flags)
            .agg(F.count(F.lit(1))).withColumnRenamed("l_partkey", "p_partkey"))
     joined = t.part.select("p_partkey").join(piv, on="p_partkey", how="left")
-    return clean.zero_fill(joined, flags)
+    # The columns are the table's flags, which static SQL cannot name: rows (id, column, value).
+    return to_long(clean.zero_fill(joined, flags), flags, ids=["p_partkey"])
 
 
 @register("null_out_outlier", sql=f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .fixed import BUCKET_SPLITS, WEEKEND_THRESHOLD
 from ..catalog import Tables, register
-from ..operators import encode
+from ..operators import dictionary, encode
 from .common import DOCS_LABELED_SQL, docs_labeled
 
 
@@ -103,3 +103,42 @@ def assemble_features(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", *ASSEMBLED)
     out = encode.assemble(li, ASSEMBLED)
     return out.select("l_orderkey", F.to_json(encode.as_array("features")).alias("features"))
+
+
+@register("label_dictionary", sql="""
+    SELECT label, count(*) AS n_rows, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS label_id
+    FROM (SELECT unnest(string_split(p_name, ' ')) AS label FROM part) WHERE label IS NOT NULL GROUP BY label
+""")
+def label_dictionary(spark, sf_dir):
+    """The label list as a table, numbered by ranges and their sizes."""
+    p = Tables(spark, sf_dir).part.select(F.explode(F.split("p_name", " ")).alias("token"))
+    return dictionary.label_dictionary(p, "token")
+
+
+@register("index_labels", sql="""
+    WITH l AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS id
+               FROM lineitem WHERE l_partkey IS NOT NULL GROUP BY l_partkey)
+    SELECT l_orderkey, l_linenumber, coalesce(l.id, (SELECT count(*) FROM l)) AS part_index
+    FROM lineitem LEFT JOIN l ON lineitem.l_partkey = l.l_partkey
+""")
+def index_labels(spark, sf_dir):
+    """J5 on an id-like column: as many labels as parts."""
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    out = dictionary.index_labels(li, "l_partkey", "part_index", dictionary.label_dictionary(li, "l_partkey"))
+    return out.drop("l_partkey")
+
+
+@register("sparse_multi_hot", sql="""
+    WITH t AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part),
+         v AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS id FROM t
+               WHERE token IS NOT NULL GROUP BY token),
+         s AS (SELECT p_partkey, list(DISTINCT id ORDER BY id) AS ids FROM t JOIN v ON t.token = v.token GROUP BY p_partkey)
+    SELECT p.p_partkey, CAST(to_json(coalesce(s.ids, [])) AS VARCHAR) AS indices
+    FROM part p LEFT JOIN s ON s.p_partkey = p.p_partkey
+""")
+def sparse_multi_hot(spark, sf_dir):
+    """Token lists as sparse vectors on the dictionary's ids."""
+    p = Tables(spark, sf_dir).part.select("p_partkey", F.split("p_name", " ").alias("tokens"))
+    ids = dictionary.label_dictionary(p.select(F.explode("tokens").alias("token")), "token")
+    out = dictionary.sparse_multi_hot(p, "p_partkey", "tokens", ids)
+    return out.select("p_partkey", F.to_json("indices").alias("indices"))

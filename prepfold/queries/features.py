@@ -9,6 +9,7 @@ from .fixed import ACRES_TO_SQFT
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import features
+from ..plans.stats import to_long
 
 
 def _lines(spark, sf_dir):
@@ -145,8 +146,11 @@ def token_vocabulary(spark, sf_dir):
 _TOKENS_SQL = "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part"
 # The columns are the tokens of the table, as in the queries.
 _MULTI_HOT_SQL = f"""
-    SELECT * FROM (PIVOT (SELECT DISTINCT p_partkey, 'name_' || token AS token FROM ({_TOKENS_SQL}))
-                   ON token USING count(*) GROUP BY p_partkey)
+    WITH t AS (SELECT DISTINCT p_partkey, token FROM ({_TOKENS_SQL})),
+         v AS (SELECT DISTINCT token FROM t WHERE token IS NOT NULL)
+    SELECT p.p_partkey, 'name_' || v.token AS column_name,
+           CAST(CASE WHEN t.token IS NULL THEN 0 ELSE 1 END AS BIGINT) AS value
+    FROM part p CROSS JOIN v LEFT JOIN t ON t.p_partkey = p.p_partkey AND t.token = v.token
 """
 
 
@@ -155,13 +159,16 @@ def _vocabulary(spark, sf_dir):
 
 
 def _with_list(spark, sf_dir):
-    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name").where(F.col("p_name").isNotNull())
+    p = Tables(spark, sf_dir).part.select("p_partkey", "p_name")
     return features.split_list(p, "p_name", " ", "name_tokens")
 
 
 def _as_long(df):
-    """Flags as the counts they are on the SQL side."""
-    return df.select(*[F.col(f"`{c}`").cast("bigint").alias(c) for c in df.columns])
+    """The wide result as rows (id, column, value): its columns are the
+    table's tokens, which static SQL cannot name."""
+    values = [c for c in df.columns if c != "p_partkey"]
+    wide = df.select("p_partkey", *[F.col(f"`{c}`").cast("bigint").alias(c) for c in values])
+    return to_long(wide, [F.col(f"`{c}`") for c in values], ids=["p_partkey"])
 
 
 @register("multi_hot", sql=_MULTI_HOT_SQL)
@@ -187,7 +194,13 @@ def multi_hot_pivot_join(spark, sf_dir):
     return _as_long(out.drop("p_name", "name_tokens"))
 
 
-@register("pivot_tokens", sql=f"SELECT * FROM (PIVOT ({_TOKENS_SQL}) ON token USING max(1) GROUP BY p_partkey)")
+@register("pivot_tokens", sql=f"""
+    WITH t AS ({_TOKENS_SQL}), v AS (SELECT DISTINCT token FROM t WHERE token IS NOT NULL),
+         d AS (SELECT DISTINCT p_partkey, token FROM t WHERE token IS NOT NULL)
+    SELECT i.p_partkey, v.token AS column_name, CAST(CASE WHEN d.token IS NOT NULL THEN 1 END AS BIGINT) AS value
+    FROM (SELECT DISTINCT p_partkey FROM d) i CROSS JOIN v
+    LEFT JOIN d ON d.p_partkey = i.p_partkey AND d.token = v.token
+""")
 def pivot_tokens(spark, sf_dir):
     """Tokens pivoted by part key; the value list is the table's."""
-    return features.pivot_tokens(_tokens(spark, sf_dir), "p_partkey", "token", _vocabulary(spark, sf_dir))
+    return _as_long(features.pivot_tokens(_tokens(spark, sf_dir), "p_partkey", "token", _vocabulary(spark, sf_dir)))

@@ -11,7 +11,7 @@ from .fixed import SEED
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
 from ..operators import clean, encode, model, split
-from ..plans.stats import attach, cut_lineage, cut_once
+from ..plans.stats import attach, cut_lineage
 
 CATEGORICALS = ["o_orderpriority", "c_mktsegment"]
 NUMERIC = ["n_lines", "total_qty", "avg_discount", "avg_tax", "c_acctbal", "c_nationkey"]
@@ -49,8 +49,8 @@ def model_data(t: Tables):
     """Sequential split (last year is test); indexers fit on train only, so
     category frequencies of the test period do not leak into training."""
     # Read for the split date, the indexer fit, training and test, by five
-    # queries: the line aggregation and its joins are written once a session.
-    j = cut_once(t.spark, ("order_frame", t.base_dir), lambda: order_frame(t))
+    # queries: each writes the line aggregation and its joins once.
+    j = cut_lineage(order_frame(t))
     train, test = split.split_by_date(j, "order_date", split.split_date(j, "order_date", TEST_DAYS))
     _, indexers = encode.index_categoricals(train, CATEGORICALS, drop_originals=False)
     train = encode.assemble(indexers.transform(train), FEATURES)
