@@ -23,6 +23,8 @@ decides alone.
 
 Texts of documents without a suspected window are final after round 1; only
 the others travel on, and only chunks, never a document's windows, are joined.
+A chunk's text and the places of its suspected windows are written and moved
+compressed.
 
 Defined results: a null or empty text has no words; texts of fewer words than
 a window stay whole; a document is a doc_id, so rows that repeat a doc_id lose
@@ -39,6 +41,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +67,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def packed_places(at: np.ndarray) -> bytes:
+    """Rising numbers as compressed steps; no bytes for none."""
+    return packed(np.diff(at, prepend=0).astype(np.int64).tobytes()) if len(at) else b""
+
+
+def places(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(unpacked(data), np.int64)) if data else np.empty(0, np.int64)
+
+
 class Words:
     """The words of a chunk's normalised texts, which are joined by newlines."""
 
@@ -136,7 +156,7 @@ def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
         def flush():
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-                 pa.array([b"\n".join(parts)], pa.large_binary()).cast(pa.binary())], names=["chunk", "ids", "norm"])
+                 pa.array([packed(b"\n".join(parts))], pa.large_binary()).cast(pa.binary())], names=["chunk", "ids", "norm"])
 
         for batch in batches:
             for own, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
@@ -171,7 +191,7 @@ def _sketches(chunks: DataFrame, window: int, slots: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for chunk, ids, norm in zip(*[c.to_pylist() for c in batch.columns]):
-                words = Words(norm)
+                words = Words(unpacked(norm))
                 at, cell = words.cells(window, slots)
                 own = np.array([i is not None for i in ids], bool)
                 doc = words.doc[at]
@@ -254,6 +274,7 @@ def _judged(chunks: DataFrame, suspected: DataFrame, window: int, slots: int, wi
     def run(batches):
         for batch in batches:
             for chunk, ids, norm, answers in zip(*[c.to_pylist() for c in batch.columns]):
+                norm = unpacked(norm)
                 words = Words(norm)
                 at, cell = words.cells(window, slots)
                 if answers:
@@ -276,8 +297,8 @@ def _judged(chunks: DataFrame, suspected: DataFrame, window: int, slots: int, wi
                     [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                      pa.array([n_words.astype(np.int64).tobytes()]),
                      pa.array([b"".join([hashlib.sha256(t).digest() for t in own])]),
-                     pa.array([has.tobytes()]), pa.array([b"\n".join([t for t, h in zip(own, has) if h])]),
-                     pa.array([(at - gone[words.doc[at]]).astype(np.int64).tobytes()])], names=names)
+                     pa.array([has.tobytes()]), pa.array([packed(b"\n".join([t for t, h in zip(own, has) if h]))]),
+                     pa.array([packed_places(at - gone[words.doc[at]])])], names=names)
 
     joined = chunks.join(_answers(suspected, "cells"), "chunk", "left").select("chunk", "ids", "norm", "answers")
     return written(joined.mapInArrow(
@@ -290,7 +311,7 @@ class Keys:
 
     def __init__(self, ids: list, has: bytes, norm: bytes, at: bytes, window: int):
         self.words = Words(norm)
-        self.at = np.frombuffer(at, np.int64)
+        self.at = places(at)
         rows = np.flatnonzero(np.frombuffer(has, bool))
         usable = np.array([ids[i] is not None for i in rows.tolist()], bool)
         number = np.array([ids[i] or 0 for i in rows.tolist()], np.int64)
@@ -315,7 +336,7 @@ def _windows(judged: DataFrame, window: int, slots: int) -> DataFrame:
             for chunk, ids, has, norm, at in zip(*[c.to_pylist() for c in batch.columns]):
                 if not at:
                     continue
-                own = Keys(ids, has, norm, at, window)
+                own = Keys(ids, has, unpacked(norm), at, window)
                 slot = (((own.pairs[:, 0] >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
                 yield _rows(_by_slot(chunk, slot, [own.pairs, own.first]), ["chunk", "slot", "digests", "firsts"])
 
@@ -368,6 +389,7 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 removed = np.zeros(len(ids), np.int64)
                 shas = [shas[i:i + 32].hex() for i in range(0, len(shas), 32)]
                 rows = np.flatnonzero(np.frombuffer(has, bool))
+                norm = unpacked(norm)
                 texts_of = norm.split(b"\n") if len(rows) else []
                 if at:
                     own = Keys(ids, has, norm, at, window)
