@@ -329,7 +329,7 @@ class Keys:
 
 
 def _windows(judged: DataFrame, window: int, slots: int) -> DataFrame:
-    """(chunk, slot, digests, firsts) of the suspected windows."""
+    """(chunk, slot, digests, firsts) of the suspected windows; the firsts, few different numbers, compressed."""
 
     def run(batches):
         for batch in batches:
@@ -338,7 +338,8 @@ def _windows(judged: DataFrame, window: int, slots: int) -> DataFrame:
                     continue
                 own = Keys(ids, has, unpacked(norm), at, window)
                 slot = (((own.pairs[:, 0] >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
-                yield _rows(_by_slot(chunk, slot, [own.pairs, own.first]), ["chunk", "slot", "digests", "firsts"])
+                yield _rows([(*row, packed(firsts)) for *row, firsts in _by_slot(chunk, slot, [own.pairs, own.first])],
+                            ["chunk", "slot", "digests", "firsts"])
 
     return (judged.select("chunk", "ids", "has", "norm", "at")
             .mapInArrow(run, "chunk long, slot int, digests binary, firsts binary"))
@@ -351,7 +352,7 @@ def _smallest(windows: DataFrame, slots: int) -> DataFrame:
     def answer(rows):
         lists = [np.frombuffer(r[2], np.uint64).reshape(-1, 2) for r in rows]
         pairs = np.concatenate(lists)
-        docs = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
+        docs = np.concatenate([np.frombuffer(unpacked(r[3]), np.int64) for r in rows])
         order = np.lexsort((docs, pairs[:, 1], pairs[:, 0]))
         ranked = pairs[order]
         new = np.ones(len(order), bool)
