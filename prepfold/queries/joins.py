@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
-from ..operators import joins, windows
+from ..operators import joins, tolerance, windows
 from ..plans.quantiles import exact_quantile
 from ..plans.stats import cut_lineage
 
@@ -43,6 +43,33 @@ def precision_join(spark, sf_dir):
                                 digits=1).select("event_id", "user_id", "value", "walkscore")
 
 
+_APART = ("(a.value / 2.0 - b.value / 2.0) * (a.value / 2.0 - b.value / 2.0)"
+          " + (a.hour / 6.0 - b.hour / 6.0) * (a.hour / 6.0 - b.hour / 6.0)")
+
+
+@register("tolerance_join", sql=f"""
+    WITH e AS (SELECT event_id, event_type, user_id, value,
+                      CAST(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS DOUBLE) / 3600000000.0 AS hour FROM events),
+         p AS (SELECT a.event_id, b.event_id AS near_id, sqrt({_APART}) AS d
+               FROM e a JOIN e b ON a.user_id = b.user_id WHERE a.event_type = 'click' AND b.event_type = 'error'),
+         n AS (SELECT * FROM p WHERE d <= 1.0 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY d, near_id) = 1)
+    SELECT a.event_id, n.near_id, {hu('n.d', 6)} AS distance
+    FROM e a LEFT JOIN n ON a.event_id = n.event_id WHERE a.event_type = 'click'
+""")
+def tolerance_join(spark, sf_dir):
+    """F1 without rounding: each click with its user's nearest error, at most
+    6 hours and 2 of the value away."""
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    e = Tables(spark, sf_dir).events.select(
+        "event_id", "event_type", "user_id", "value",
+        (F.timestamp_diff("MICROSECOND", start, F.col("ts").cast("timestamp_ntz")).cast("double")
+         / F.lit(3600000000.0)).alias("hour"))
+    errors = e.where("event_type = 'error'").withColumnRenamed("event_id", "near_id")
+    out = tolerance.tolerance_join(e.where("event_type = 'click'"), errors, {"value": 2.0, "hour": 6.0},
+                                   ["near_id"], ["near_id"], ["user_id"])
+    return out.select("event_id", "near_id", half_up("distance", 6).alias("distance"))
+
+
 @register("sql_left_join", sql=f"""
     WITH w AS ({WALK_SQL})
     SELECT e.event_id, e.user_id, {RK_E} AS value, w.walkscore

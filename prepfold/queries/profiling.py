@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .fixed import SAMPLE_FRACTION, SEED
 from ..catalog import Tables, hu, register
 from ..functions.scalar import half_up
-from ..operators import clean, profile, validate
+from ..operators import clean, density, mergeable, profile, validate
+from ..plans.stats import cut_lineage
 from .common import DOCS_LABELED_SQL, docs_labeled, priced_orders
 
 LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -173,6 +174,24 @@ def histogram(spark, sf_dir):
                     half_up("bin_high", 6).alias("bin_high"), "count")
 
 
+@register("density_curve", sql=f"""
+    WITH x AS (SELECT ln(o_totalprice) AS x FROM orders),
+         s AS (SELECT count(x) AS n, stddev_samp(x) * power(count(x), -0.2) AS bw, min(x) AS lo, max(x) AS hi FROM x),
+         g AS (SELECT n, bw, lo - 3 * bw AS start, (hi - lo + 6 * bw) / 127 AS step FROM s),
+         c AS (SELECT least(floor((x - start) / step), 126) AS j, (x - start) / step AS place FROM x, g),
+         w AS (SELECT j, sum(w) AS w
+               FROM (SELECT j, count(*) - sum(place - j) AS w FROM c GROUP BY j
+                     UNION ALL SELECT j + 1, sum(place - j) FROM c GROUP BY j) GROUP BY j)
+    SELECT CAST(point AS INTEGER) AS point, {hu('start + point * step', 6)} AS x,
+           {hu('sum(w * exp(-power((point - j) * step / bw, 2) / 2)) / (n * bw * sqrt(2 * pi()))', 6)} AS density
+    FROM w, g, range(0, 128) AS k(point) GROUP BY point, n, bw, start, step
+""")
+def density_curve(spark, sf_dir):
+    """The smooth curve of the log price's distribution."""
+    d = density.density_curve(priced_orders(Tables(spark, sf_dir)), "log_price", 128)
+    return d.select("point", half_up("x", 6).alias("x"), half_up("density", 6).alias("density"))
+
+
 @register("linear_trend", sql=f"""
     SELECT l_returnflag, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n,
            {hu('regr_slope(l_extendedprice, l_quantity)', 6)} AS slope,
@@ -244,3 +263,35 @@ def global_aggregates(spark, sf_dir):
     digits = {"mean": 6, "stddev": 6, "sum": 2, "skewness": 9}
     return g.select(*[half_up(f"{fn}_o_totalprice", digits[fn]).alias(f"{fn}_o_totalprice")
                       if fn in digits else F.col(f"{fn}_o_totalprice") for fn in _G1])
+
+
+_STATE_DIGITS = {"mean": 4, "stddev": 4, "skewness": 6, "corr": 6, "slope": 4}
+
+
+def _state_sql(c):
+    return f"""SELECT '{c}' AS column_name, '' AS other_name, count({c}) AS n, {hu(f'avg({c})', 4)} AS mean,
+        {hu(f'stddev_samp({c})', 4)} AS stddev,
+        {hu(f'avg(power({c} - m, 3)) / power(var_pop({c}), 1.5)', 6)} AS skewness,
+        CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max,
+        CAST(NULL AS DOUBLE) AS corr, CAST(NULL AS DOUBLE) AS slope
+        FROM lineitem, (SELECT avg({c}) AS m FROM lineitem)"""
+
+
+@register("merged_state", sql=f"""
+    {_state_sql('l_extendedprice')}
+    UNION ALL
+    {_state_sql('l_quantity')}
+    UNION ALL
+    SELECT 'l_extendedprice', 'l_quantity', count(*), {hu('avg(l_extendedprice)', 4)},
+           {hu('stddev_samp(l_extendedprice)', 4)}, NULL, min(l_extendedprice), max(l_extendedprice),
+           {hu('corr(l_extendedprice, l_quantity)', 6)}, {hu('regr_slope(l_extendedprice, l_quantity)', 4)}
+    FROM lineitem WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL
+""")
+def merged_state(spark, sf_dir):
+    """Statistics of all lines out of one stored state a month of shipping."""
+    li = Tables(spark, sf_dir).lineitem.select("l_extendedprice", "l_quantity",
+                                               F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    months = cut_lineage(mergeable.moment_state(li, ["l_extendedprice", "l_quantity"],
+                                                [("l_extendedprice", "l_quantity")], by=["month"]))
+    s = mergeable.state_statistics(mergeable.merge_states(months.drop("month")))
+    return s.withColumns({c: half_up(c, d) for c, d in _STATE_DIGITS.items()})
