@@ -17,8 +17,8 @@ Cells estimated at two documents or more go back to the chunks.
 
 Round 2, exactly. Only windows of such cells are looked at again, by a 128-bit
 BLAKE2b of their words: a chunk sends each distinct one with its smallest
-document, the slot finds the smallest of all, and sends that back where it is
-smaller. Fuller counters only let more windows through to this round, which
+document, the slot finds the smallest of all, and sends back a bit for each:
+whether that is smaller. Fuller counters only let more windows through to this round, which
 decides alone.
 
 Texts of documents without a suspected window are final after round 1; only
@@ -309,7 +309,7 @@ class Keys:
     """A chunk's suspected windows: their documents, and the distinct digests
     in order, each with its smallest document."""
 
-    def __init__(self, ids: list, has: bytes, norm: bytes, at: bytes, window: int):
+    def __init__(self, ids: list, has: bytes, norm: bytes, at: bytes, window: int, slots: int):
         self.words = Words(norm)
         self.at = places(at)
         rows = np.flatnonzero(np.frombuffer(has, bool))
@@ -326,6 +326,7 @@ class Keys:
         self.key = np.empty(len(order), np.int64)
         self.key[order] = np.cumsum(new) - 1
         self.pairs, self.first = pairs[new], self.doc[order][new]
+        self.slot = (((self.pairs[:, 0] >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
 
 
 def _windows(judged: DataFrame, window: int, slots: int) -> DataFrame:
@@ -336,18 +337,18 @@ def _windows(judged: DataFrame, window: int, slots: int) -> DataFrame:
             for chunk, ids, has, norm, at in zip(*[c.to_pylist() for c in batch.columns]):
                 if not at:
                     continue
-                own = Keys(ids, has, unpacked(norm), at, window)
-                slot = (((own.pairs[:, 0] >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)).astype(np.int64)
-                yield _rows([(*row, packed(firsts)) for *row, firsts in _by_slot(chunk, slot, [own.pairs, own.first])],
+                own = Keys(ids, has, unpacked(norm), at, window, slots)
+                yield _rows([(*row, packed(firsts)) for *row, firsts in _by_slot(chunk, own.slot, [own.pairs, own.first])],
                             ["chunk", "slot", "digests", "firsts"])
 
     return (judged.select("chunk", "ids", "has", "norm", "at")
             .mapInArrow(run, "chunk long, slot int, digests binary, firsts binary"))
 
 
-def _smallest(windows: DataFrame, slots: int) -> DataFrame:
-    """(chunk, slot, digests, firsts): windows that start in a smaller
-    document elsewhere, and the smallest of these."""
+def _smaller(windows: DataFrame, slots: int) -> DataFrame:
+    """(chunk, slot, less): of a chunk's windows in a slot, in order, a bit
+    for each that also starts in a document smaller than the chunk's; no row
+    where none does."""
 
     def answer(rows):
         lists = [np.frombuffer(r[2], np.uint64).reshape(-1, 2) for r in rows]
@@ -364,11 +365,10 @@ def _smallest(windows: DataFrame, slots: int) -> DataFrame:
             part = slice(end, end := end + len(own))
             less = least[part] < docs[part]
             if less.any():
-                out.append((row[0], row[1], own[less].tobytes(), least[part][less].tobytes()))
+                out.append((row[0], row[1], np.packbits(less).tobytes()))
         return out
 
-    return _slotted(windows, slots, answer, ["chunk", "slot", "digests", "firsts"],
-                    "chunk long, slot int, digests binary, firsts binary")
+    return _slotted(windows, slots, answer, ["chunk", "slot", "less"], "chunk long, slot int, less binary")
 
 
 def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -381,7 +381,7 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     chunks = _chunks(own, chunk_bytes)
     suspected = _suspected(_sketches(chunks, window, slots), slots)
     judged = _judged(chunks, suspected, window, slots, with_text)
-    answers = _answers(_smallest(_windows(judged, window, slots), slots), "digests", "firsts")
+    answers = _answers(_smaller(_windows(judged, window, slots), slots), "less")
 
     def run(batches):
         for batch in batches:
@@ -393,12 +393,12 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 norm = unpacked(norm)
                 texts_of = norm.split(b"\n") if len(rows) else []
                 if at:
-                    own = Keys(ids, has, norm, at, window)
-                    first = own.first.copy()
+                    own = Keys(ids, has, norm, at, window, slots)
+                    less = np.zeros(len(own.slot), bool)
                     for a in answers or []:
-                        first[_places(own.pairs, np.frombuffer(a["digests"], np.uint64).reshape(-1, 2))] = \
-                            np.frombuffer(a["firsts"], np.int64)
-                    lost = own.at[first[own.key] < own.doc]
+                        lo, hi = np.searchsorted(own.slot, [a["slot"], a["slot"] + 1])
+                        less[lo:hi] = np.unpackbits(np.frombuffer(a["less"], np.uint8), count=hi - lo)
+                    lost = own.at[less[own.key] | (own.first[own.key] < own.doc)]
                     gone = np.zeros(len(own.words.starts) + 1, np.int64)
                     np.add.at(gone, lost, 1)
                     np.add.at(gone, lost + window, -1)
@@ -423,16 +423,6 @@ def drop_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return joined.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def _places(pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where each of ``wanted`` stands in ``pairs``, which are sorted and hold all of them."""
-    low = np.searchsorted(pairs[:, 0], wanted[:, 0])
-    while True:  # equal first halves: step on to the right second half
-        off = pairs[low, 1] != wanted[:, 1]
-        if not off.any():
-            return low
-        low = low + off
-
-
 ORACLE_SQL = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
