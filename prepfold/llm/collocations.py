@@ -12,7 +12,9 @@ shallow trie over them has the language and the first word as its upper
 levels, and hash containers below, keyed by the numbers that are left of a
 phrase. A container with more than ``BURST`` phrases bursts into a node with a
 container for each next word. Beyond ``MAX_PHRASES`` phrases the largest
-subtrees are spilled whole, as sorted runs with the words spelt out. The runs
+subtrees are spilled whole, as sorted runs of about ``RUN_PHRASES`` phrases with
+the words spelt out, so that a spill adds a run to a task's memory and not a
+second copy of its trie; chunks reach a task ``CHUNKS`` at a time. The runs
 are a table in the shared folder; range partitioning by language and phrase
 deals them to prefix partitions (a hot prefix spans several), where the counts
 of each phrase are added up. No text moves between tasks, and a phrase is one
@@ -33,6 +35,8 @@ part, whatever their names.
 from __future__ import annotations
 
 from array import array
+from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +50,14 @@ from .shared import shuffle_partitions, table, texts, written
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-#: Phrases of a container before it bursts, and of a task's trie before it spills.
-BURST, MAX_PHRASES = 1 << 12, 1 << 20
+#: Phrases of a container before it bursts, of a task's trie before it spills, and of a run.
+BURST, MAX_PHRASES, RUN_PHRASES = 1 << 12, 1 << 19, 1 << 17
+#: Phrases that are sorted together before a trie takes them.
+BUFFER = 1 << 19
 #: Words that get numbers before a task spills all and numbers anew.
 MAX_NUMBERS = 1 << 19
-#: Words of a chunk, and bytes of a slice of text.
-BATCH, SLICE = 1 << 19, 4 << 20
+#: Words of a chunk, bytes of a slice of text, and chunks read or sent to a worker at once.
+BATCH, SLICE, CHUNKS = 1 << 18, 4 << 20, 4
 #: Rows of a run sent at a time.
 RUN_ROWS = 1 << 15
 BITS_PER_KEY, PROBES = 16, 4
@@ -163,30 +169,31 @@ class HatTrie:
 
     def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
         """Distinct rows in ascending order, and their counts."""
-        raw, width = rows.astype(np.uint32).tobytes(), 4 * self.width
-        keys = [raw[i:i + width] for i in range(0, len(raw), width)]
-        tops = rows[:, :self.upper]
-        cuts = np.flatnonzero(np.any(tops[1:] != tops[:-1], axis=1)) + 1
-        bounds = [0, *cuts.tolist(), len(rows)]
+        raw, width = np.ascontiguousarray(rows[:, self.upper:], np.uint32).tobytes(), 4 * (self.width - self.upper)
+        rests = [raw[i:i + width] for i in range(0, len(raw), width)]
+        tops = rows[:, :self.upper].astype(np.uint32)
+        starts = np.flatnonzero(np.any(tops[1:] != tops[:-1], axis=1)) + 1
+        bounds = [0, *starts.tolist(), len(rows)]
+        raw, width = tops[bounds[:-1]].tobytes(), 4 * self.upper
         counts = counts.tolist()
-        for a, b in zip(bounds, bounds[1:]):
-            top = keys[a][:4 * self.upper]
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            top = raw[k * width:(k + 1) * width]
             below = self.root.get(top)
-            if below is None:
-                below = self.root[top] = Container()
-            new, below = self._into(below, self.upper, keys, counts, a, b)
-            self.root[top] = below
+            new, self.root[top] = self._into(Container() if below is None else below, self.upper,
+                                             rests[a:b], counts[a:b])
             self.sizes[top] = self.sizes.get(top, 0) + new
             self.total += new
 
-    def _into(self, below, depth: int, keys: list, counts: list, a: int, b: int):
+    def _into(self, below, depth: int, rests: list, counts: list):
         """(new phrases, what is below now)."""
-        at = 4 * depth
         if isinstance(below, Container):
             before = len(below)
-            for i in range(a, b):
-                rest = keys[i][at:]
-                below[rest] = below.get(rest, 0) + counts[i]
+            if before:
+                get = below.get
+                for rest, n in zip(rests, counts):
+                    below[rest] = get(rest, 0) + n
+            else:
+                below.update(zip(rests, counts))
             new = len(below) - before
             if len(below) > self.burst and depth + 1 < self.width:
                 node: dict = {}
@@ -197,38 +204,80 @@ class HatTrie:
                     child[rest[4:]] = n
                 below = node
             return new, below
-        new, i = 0, a
-        while i < b:
-            step = keys[i][at:at + 4]
+        new, i = 0, 0
+        while i < len(rests):
+            step = rests[i][:4]
             j = i + 1
-            while j < b and keys[j][at:at + 4] == step:
+            while j < len(rests) and rests[j][:4] == step:
                 j += 1
-            more, below[step] = self._into(below.get(step) or Container(), depth + 1, keys, counts, i, j)
+            child = below.get(step)
+            more, below[step] = self._into(Container() if child is None else child, depth + 1,
+                                           [rest[4:] for rest in rests[i:j]], counts[i:j])
             new, i = new + more, j
         return new, below
 
-    def _walk(self, below, prefix: bytes):
+    def _containers(self, below, prefix: bytes):
         if isinstance(below, Container):
-            for rest, n in below.items():
-                yield prefix + rest, n
+            yield prefix, below
         else:
             for step, child in below.items():
-                yield from self._walk(child, prefix + step)
+                yield from self._containers(child, prefix + step)
+
+    def runs(self, keep: int, size: int):
+        """Takes whole subtrees out, the largest first, until ``keep`` phrases
+        are left: rows and counts of about ``size`` phrases at a time."""
+        raw, counts = [], []
+
+        def run():
+            return np.frombuffer(b"".join(raw), np.uint32).reshape(-1, self.width), np.array(counts, np.int64)
 
-    def take(self, keep: int) -> list[tuple[bytes, int]]:
-        """Takes whole subtrees out, the largest first, until ``keep`` phrases are left."""
-        out = []
         for top in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if self.total <= keep:
                 break
             self.total -= self.sizes.pop(top)
-            out.extend(self._walk(self.root.pop(top), top))
-        return out
+            for prefix, found in self._containers(self.root.pop(top), top):
+                raw += [prefix, prefix.join(found)]
+                counts += found.values()
+                if len(counts) >= size:
+                    yield run()
+                    raw, counts = [], []
+        if counts:
+            yield run()
+
+    def take(self, keep: int) -> list[tuple[bytes, int]]:
+        """The same as a list of the rows' bytes and counts."""
+        return [(row.tobytes(), n) for rows, counts in self.runs(keep, RUN_PHRASES)
+                for row, n in zip(rows, counts.tolist())]
 
 
 class Container(dict):
     """A burstable hash container."""
 
+    __slots__ = ()
+
+
+@contextmanager
+def few_chunks(spark):
+    """Chunks are rows of megabytes: plans that run in here read them, and send
+    them to a worker, ``CHUNKS`` at a time, however large a partition is."""
+    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [(key, spark.conf.get(key)) for key in keys]
+    for key in keys:
+        spark.conf.set(key, str(CHUNKS))
+    try:
+        yield
+    finally:
+        for key, value in before:
+            spark.conf.set(key, value)
+
+
+def chunk_rows(batch):
+    """The chunks of a batch one at a time: languages, words, and the other
+    columns as views of the batch."""
+    for i in range(batch.num_rows):
+        langs, words, *rest = (c[i] for c in batch.columns)
+        yield [b"", b"\n"] + langs.as_py(), [b"", b"\n"] + words.as_py().split(b"\n"), *(x.as_buffer() for x in rest)
+
 
 def _chunks(docs: DataFrame) -> DataFrame:
     """Texts as numbers, about ``BATCH`` words a row, written: the distinct
@@ -267,24 +316,25 @@ def _chunks(docs: DataFrame) -> DataFrame:
 def _word_runs(chunks: DataFrame) -> DataFrame:
     """(lang, phrase, n): sorted runs of the counts of single words. They are
     all first words, so one hash container a language holds them."""
-    max_phrases = MAX_PHRASES
+    max_phrases, run_phrases = MAX_PHRASES, RUN_PHRASES
 
     def run(batches):
         found: dict[bytes, Container] = {}
 
         def spill():
             for own, below in found.items():
-                done = pa.table({"lang": pa.array([own] * len(below), pa.binary()).cast(pa.string()),
-                                 "phrase": pa.array(list(below), pa.binary()).cast(pa.string()),
-                                 "n": pa.array(list(below.values()), pa.int64())})
-                yield from done.sort_by("phrase").to_batches(RUN_ROWS)
+                words = iter(below.items())
+                while part := list(islice(words, run_phrases)):
+                    done = pa.table({"lang": pa.array([own] * len(part), pa.binary()).cast(pa.string()),
+                                     "phrase": pa.array([w for w, _ in part], pa.binary()).cast(pa.string()),
+                                     "n": pa.array([n for _, n in part], pa.int64())})
+                    yield from done.sort_by("phrase").to_batches(RUN_ROWS)
             found.clear()
 
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                langs, words = [b"", b"\n"] + row[0], [b"", b"\n"] + row[1].split(b"\n")
-                ids = np.frombuffer(row[4], np.int32)
-                lang = np.repeat(np.frombuffer(row[2], np.int32), np.frombuffer(row[3], np.int64))
+            for langs, words, lang_of, sizes, ids in chunk_rows(batch):
+                ids = np.frombuffer(ids, np.int32)
+                lang = np.repeat(np.frombuffer(lang_of, np.int32), np.frombuffer(sizes, np.int64))
                 both = lang.astype(np.int64) * len(words) + ids
                 codes, counts = np.unique(both[ids != BREAK], return_counts=True)
                 own, at = np.divmod(codes, len(words))
@@ -304,22 +354,19 @@ def _word_runs(chunks: DataFrame) -> DataFrame:
 def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
     """(lang, phrase, n): sorted runs of the counts of phrases of ``size``
     words; known: the filter of phrases one word shorter."""
-    max_phrases, max_numbers, burst = MAX_PHRASES, MAX_NUMBERS, BURST
+    max_phrases, max_numbers, burst, run_phrases, buffer = MAX_PHRASES, MAX_NUMBERS, BURST, RUN_PHRASES, BUFFER
 
     def run(batches):
         langs, words, trie = Names(), Names(), HatTrie(size + 1, burst)
 
         def spill(keep):
-            taken = trie.take(keep)
-            if not taken:
-                return
-            rows = np.frombuffer(b"".join([k for k, _ in taken]), np.uint32).reshape(-1, size + 1)
             names = pa.array(words.names, pa.binary())
-            spelt = [names.take(pa.array(rows[:, k])) for k in range(1, size + 1)]
-            phrase = pc.binary_join_element_wise(*spelt, b" ")
-            done = pa.table({"lang": pa.array(langs.names, pa.binary()).take(pa.array(rows[:, 0])).cast(pa.string()),
-                             "phrase": phrase.cast(pa.string()), "n": pa.array([n for _, n in taken], pa.int64())})
-            yield from done.sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches(RUN_ROWS)
+            for rows, counts in trie.runs(keep, run_phrases):
+                spelt = [names.take(pa.array(rows[:, k])) for k in range(1, size + 1)]
+                phrase = pc.binary_join_element_wise(*spelt, b" ")
+                done = pa.table({"lang": pa.array(langs.names, pa.binary()).take(pa.array(rows[:, 0])).cast(pa.string()),
+                                 "phrase": phrase.cast(pa.string()), "n": pa.array(counts)})
+                yield from done.sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches(RUN_ROWS)
 
         def starts(ids, lang, hashes, lang_hash):
             """Where phrases stand of which both shorter ones are known."""
@@ -341,31 +388,39 @@ def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
             use[at[~found]] = False
             return np.flatnonzero(use[:-1] & use[1:])
 
-        def renumbered(column, names, numbers):
-            used = np.unique(column)
-            new = np.zeros(int(used[-1]) + 1, np.int64)
-            new[used] = [numbers[names[i]] for i in used.tolist()]
-            return new
+        def renumbered(columns, names, numbers):
+            new = np.zeros(len(names), np.uint32)
+            for column in columns:
+                new[column] = 1
+            used = np.flatnonzero(new)
+            new[used] = np.fromiter(map(numbers.__getitem__, map(names.__getitem__, used.tolist())), np.uint32, len(used))
+            return [new[column] for column in columns]
+
+        def add():
+            if pending:
+                trie.add(*grouped([c.astype(np.int64) for c in np.concatenate(pending, axis=1)]))
+                pending.clear()
 
+        pending = []
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns]):
-                own_langs, own_words = [b"", b"\n"] + row[0], [b"", b"\n"] + row[1].split(b"\n")
-                ids = np.frombuffer(row[5], np.int32)
-                lang = np.repeat(np.frombuffer(row[3], np.int32), np.frombuffer(row[4], np.int64))
+            for own_langs, own_words, hashes, lang_of, sizes, ids in chunk_rows(batch):
+                ids = np.frombuffer(ids, np.int32)
+                lang = np.repeat(np.frombuffer(lang_of, np.int32), np.frombuffer(sizes, np.int64))
                 lang_hash = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in own_langs], np.uint64)
-                at = starts(ids, lang, np.frombuffer(row[2], np.uint64), lang_hash)
+                at = starts(ids, lang, np.frombuffer(hashes, np.uint64), lang_hash)
                 if not len(at):
                     continue
-                rows, counts = grouped([lang[at].astype(np.int64)] + [ids[at + k].astype(np.int64) for k in range(size)])
-                rows = np.concatenate([renumbered(rows[:, :1], own_langs, langs)[rows[:, :1]],
-                                       renumbered(rows[:, 1:], own_words, words)[rows[:, 1:]]], axis=1)
-                order = np.lexsort([rows[:, k] for k in range(size, -1, -1)])
-                trie.add(rows[order], counts[order])
-                if len(words) > max_numbers or len(langs) > max_numbers:
+                pending.append(np.stack(renumbered([lang[at]], own_langs, langs)
+                                        + renumbered([ids[at + k] for k in range(size)], own_words, words)))
+                full = len(words) > max_numbers or len(langs) > max_numbers
+                if full or sum(x.shape[1] for x in pending) >= buffer:
+                    add()
+                if full:
                     yield from spill(0)
                     langs, words = Names(), Names()
                 elif trie.total > max_phrases:
                     yield from spill(max_phrases // 2)
+        add()
         yield from spill(0)
 
     return chunks.mapInArrow(run, "lang string, phrase string, n long")
@@ -430,7 +485,8 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     chunks = _chunks(own)
     totals, levels, known = None, [], None
     for size in range(1, max_words + 1):
-        runs = written(_word_runs(chunks) if known is None else _runs(chunks, size, known))
+        with few_chunks(spark):
+            runs = written(_word_runs(chunks) if known is None else _runs(chunks, size, known))
         if totals is None:
             totals = written(runs.groupBy("lang").agg(F.sum("n").alias("n")))
         level = written(runs.repartitionByRange(slots, "lang", "phrase").groupBy("lang", "phrase")
