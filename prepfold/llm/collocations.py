@@ -4,6 +4,9 @@ Phrases are counted length by length, from words to ``max_words``. A phrase of
 k words can only reach ``min_count`` if both phrases of k - 1 words inside it
 do, so the counts of one length give a Bloom filter for the next: a filter
 has no false negatives, and a fuller one only lets more phrases be counted.
+Most pairs of frequent words are rare, so pairs are first counted by slots of
+their hashes, and only those in slots that reach ``min_count`` by their phrases
+(each of which goes there in all tasks) are counted as phrases.
 
 Texts are numbered once, in chunks with a dictionary of their own, written to
 the shared folder; every length is counted from these. Each task counts in a
@@ -351,9 +354,104 @@ def _word_runs(chunks: DataFrame) -> DataFrame:
             .mapInArrow(run, "lang string, phrase string, n long"))
 
 
-def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
+def starts(ids: np.ndarray, lang: np.ndarray, hashes: np.ndarray, langs: list, size: int, known):
+    """Where phrases of ``size`` words stand of which both shorter ones are
+    known, and the phrases' hashes."""
+    lang_hash = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in langs], np.uint64)
+    plain = ids != BREAK
+    slots, masks, base, bits = known
+    shorter = len(ids) - size + 2
+    if shorter < 2:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    use = plain[:shorter].copy()
+    for k in range(1, size - 1):
+        use &= plain[k:k + shorter]
+    at = np.flatnonzero(use)
+    short = np.zeros(shorter, np.uint64)
+    short[at] = phrase_hashes(lang_hash[lang[at]], [hashes[ids[at + k]] for k in range(size - 1)])
+    slot, mask, h = _slotted(short[at], masks, slots)
+    found = np.ones(len(h), bool)
+    for p in _places(h, mask):
+        found &= (bits[base[slot] + (p >> np.uint64(3)).astype(np.int64)]
+                  >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    use[at[~found]] = False
+    at = np.flatnonzero(use[:-1] & use[1:])
+    return at, mixed(short[at] * MIX + hashes[ids[at + size - 1]])
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as their first bytes, second bytes and so on, which the
+    shuffle's compression shortens where they are small."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def _dense(chunks: DataFrame, size: int, known, words: int, min_count: int, parts: int, max_bytes: int):
+    """A bit for each slot of the phrases' hashes, set where phrases of the slot
+    occur ``min_count`` times or more together, as (bits of a slot number,
+    flags). A frequent phrase's slot is always set: a part's count is bounded
+    by ``min_count``, so no bounded sum that matters falls below it. About one
+    slot for eight words, ``max_bytes`` at most; a fuller one lets more phrases
+    be counted."""
+    bits = max(10, min(int(words // 8).bit_length(), int(max_bytes * 8).bit_length() - 1, 32))
+    ranges = min(128, 1 << (parts - 1).bit_length())
+    each, buffer = (1 << bits) // ranges, 4 * BUFFER  # of 8 slots at least: whole bytes of flags
+
+    def counted(batches):
+        pending = []
+
+        def flush():
+            slot, counts = np.unique(np.concatenate(pending), return_counts=True)
+            pending.clear()
+            counts = np.minimum(counts, min_count)
+            cuts = np.searchsorted(slot, np.arange(ranges + 1, dtype=np.int64) * each).tolist()
+            full = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r for r, _, _ in full], pa.int32()),
+                 pa.array([planes(np.diff(slot[a:b].astype(np.int64), prepend=r * each)) for r, a, b in full], pa.binary()),
+                 pa.array([planes(counts[a:b]) for _, a, b in full], pa.binary())], names=["range", "slots", "counts"])
+
+        for batch in batches:
+            for langs, _, hashes, lang_of, sizes, ids in chunk_rows(batch):
+                ids = np.frombuffer(ids, np.int32)
+                lang = np.repeat(np.frombuffer(lang_of, np.int32), np.frombuffer(sizes, np.int64))
+                h = starts(ids, lang, np.frombuffer(hashes, np.uint64), langs, size, known.value)[1]
+                pending.append((h >> np.uint64(64 - bits)).astype(np.uint32))
+                if sum(map(len, pending)) >= buffer:
+                    yield flush()
+        if sum(map(len, pending)):
+            yield flush()
+
+    def summed(batches):
+        found = {}
+        for batch in batches:
+            for r, slots, counts in zip(*[c.to_pylist() for c in batch.columns]):
+                own = found.get(r)
+                if own is None:
+                    own = found[r] = np.zeros(each, np.uint32)
+                own[np.cumsum(from_planes(slots), dtype=np.int64)] += np.minimum(from_planes(counts), min_count)
+                np.minimum(own, min_count, out=own)
+        for r, own in found.items():
+            flags = np.packbits(own >= min_count, bitorder="little")
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([flags.tobytes()])],
+                                             names=["range", "flags"])
+
+    flags = np.zeros(max(1, (1 << bits) // 8), np.uint8)
+    with few_chunks(chunks.sparkSession):
+        for r, own in (chunks.mapInArrow(counted, "range int, slots binary, counts binary")
+                       .repartition(parts, "range").mapInArrow(summed, "range int, flags binary").collect()):
+            own = np.frombuffer(own, np.uint8)
+            flags[r * each // 8:r * each // 8 + len(own)] |= own
+    return bits, flags
+
+
+def _runs(chunks: DataFrame, size: int, known, dense=None) -> DataFrame:
     """(lang, phrase, n): sorted runs of the counts of phrases of ``size``
-    words; known: the filter of phrases one word shorter."""
+    words; known: the filter of phrases one word shorter; dense: the slots
+    that may hold frequent phrases, if only these shall be counted."""
     max_phrases, max_numbers, burst, run_phrases, buffer = MAX_PHRASES, MAX_NUMBERS, BURST, RUN_PHRASES, BUFFER
 
     def run(batches):
@@ -368,26 +466,6 @@ def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
                                  "phrase": phrase.cast(pa.string()), "n": pa.array(counts)})
                 yield from done.sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches(RUN_ROWS)
 
-        def starts(ids, lang, hashes, lang_hash):
-            """Where phrases stand of which both shorter ones are known."""
-            plain = ids != BREAK
-            slots, masks, base, bits = known.value
-            shorter = len(ids) - size + 2
-            if shorter < 2:
-                return np.empty(0, np.int64)
-            use = plain[:shorter].copy()
-            for k in range(1, size - 1):
-                use &= plain[k:k + shorter]
-            at = np.flatnonzero(use)
-            slot, mask, h = _slotted(phrase_hashes(lang_hash[lang[at]], [hashes[ids[at + k]] for k in range(size - 1)]),
-                                     masks, slots)
-            found = np.ones(len(h), bool)
-            for p in _places(h, mask):
-                found &= (bits[base[slot] + (p >> np.uint64(3)).astype(np.int64)]
-                          >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            use[at[~found]] = False
-            return np.flatnonzero(use[:-1] & use[1:])
-
         def renumbered(columns, names, numbers):
             new = np.zeros(len(names), np.uint32)
             for column in columns:
@@ -406,8 +484,11 @@ def _runs(chunks: DataFrame, size: int, known) -> DataFrame:
             for own_langs, own_words, hashes, lang_of, sizes, ids in chunk_rows(batch):
                 ids = np.frombuffer(ids, np.int32)
                 lang = np.repeat(np.frombuffer(lang_of, np.int32), np.frombuffer(sizes, np.int64))
-                lang_hash = np.array([xxhash.xxh64_intdigest(x) if x else 0 for x in own_langs], np.uint64)
-                at = starts(ids, lang, np.frombuffer(hashes, np.uint64), lang_hash)
+                at, h = starts(ids, lang, np.frombuffer(hashes, np.uint64), own_langs, size, known.value)
+                if dense is not None:
+                    bits, flags = dense.value
+                    slot = h >> np.uint64(64 - bits)
+                    at = at[(flags[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
                 if not len(at):
                     continue
                 pending.append(np.stack(renumbered([lang[at]], own_langs, langs)
@@ -485,10 +566,16 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     chunks = _chunks(own)
     totals, levels, known = None, [], None
     for size in range(1, max_words + 1):
+        # By far the most phrases that are known by their parts alone have two words.
+        dense = None if size != 2 else spark.sparkContext.broadcast(
+            _dense(chunks, size, known, n_words, min_count, slots, max_filter_bytes // 2))
         with few_chunks(spark):
-            runs = written(_word_runs(chunks) if known is None else _runs(chunks, size, known))
+            runs = written(_word_runs(chunks) if known is None else _runs(chunks, size, known, dense))
+        if dense is not None:
+            dense.unpersist()
         if totals is None:
             totals = written(runs.groupBy("lang").agg(F.sum("n").alias("n")))
+            n_words = totals.agg(F.sum("n")).first()[0] or 0
         level = written(runs.repartitionByRange(slots, "lang", "phrase").groupBy("lang", "phrase")
                         .agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count))
         levels.append(level)

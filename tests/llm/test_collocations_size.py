@@ -45,3 +45,14 @@ def test_numbers_spill_in_the_middle_of_a_batch(spark, monkeypatch):
         monkeypatch.setattr(cl, name, value)
     docs = random_docs(np.random.default_rng(11), 120)
     assert {tuple(r) for r in cl.collocations(frame(spark, docs), min_count=3).collect()} == brute(docs, 3)
+
+
+def test_rare_pairs_are_not_counted_as_phrases(spark, monkeypatch):
+    """Pairs of frequent words that are rare themselves stay out of the runs."""
+    runs, kept = cl._runs, {}
+    monkeypatch.setattr(cl, "_runs", lambda chunks, size, *a: kept.setdefault(size, runs(chunks, size, *a)))
+    docs = [(" ".join(f"w{(i * k + j) % 97}" for i in range(97)) + " a b.", "en") for j in range(12) for k in range(1, 9)]
+    got = cl.collocations(frame(spark, docs), min_count=96).collect()
+    assert {tuple(r) for r in got} == brute(docs, 96) == {("en", 1, "a b", 96, 96, 96, 96 * 99, 99000)}
+    with cl.few_chunks(spark):
+        assert kept[2].select("phrase").distinct().count() < 700  # of 776 + 2 and more known by their words
